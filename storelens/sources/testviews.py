@@ -14,8 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_raw: dict[tuple[str, str], DataFrame] = {}
+
+
 def raw(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}.parquet")
+    """A given table; its files are listed and its schema read once per application."""
+    path = f"{root}/{table}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _raw:
+        _raw[key] = spark.read.parquet(path)
+    return _raw[key]
 
 
 def _after(start: Column, days: Column | int, minutes: Column | int = 0) -> Column:
