@@ -23,10 +23,14 @@ class Total:
 
 @dataclass(frozen=True)
 class Distinct:
-    """Distinct values of an expression, NULL not counted. ``needs`` names dimension columns it reads."""
+    """Distinct values of an id, NULL not counted; with ``when``, of rows that meet the condition.
+
+    ``needs`` names the dimension columns the condition reads.
+    """
 
     fact: str
-    rows: Callable[[], Column]
+    of: str
+    when: Callable[[], Column] | None = None
     needs: frozenset[str] = frozenset()
     ignores: frozenset[str] = frozenset()
 
@@ -57,7 +61,8 @@ def _orders_with(status: str) -> Distinct:
     """Its own status condition takes the place of a status filter on the report."""
     return Distinct(
         ITEMS,
-        lambda: F.when(F.col("order_status") == status, F.col("order_id")),
+        "order_id",
+        lambda: F.col("order_status") == status,
         ignores=frozenset({"order_status"}),
     )
 
@@ -72,16 +77,17 @@ MEASURES: dict[str, Total | Distinct | Ratio] = {
     "total_freight": _money(ITEMS, "freight_value"),
     "gmv": _money(ITEMS, "total_value"),
     "total_payments": _money(PAYMENTS, "payment_value"),
-    "order_count": Distinct(ITEMS, lambda: F.col("order_id")),
+    "order_count": Distinct(ITEMS, "order_id"),
     "items_sold": _count(ITEMS),
     "priced_items": _count(ITEMS, lambda: F.col("price").isNotNull()),
     "average_order_value": Ratio("gmv", "order_count"),
     "average_item_price": Ratio("total_sales", "priced_items"),
     # Customers
-    "active_customers": Distinct(ITEMS, lambda: F.col("customer_key")),
+    "active_customers": Distinct(ITEMS, "customer_key"),
     "repeat_customers": Distinct(
         ITEMS,
-        lambda: F.when(F.col("is_repeat_customer"), F.col("customer_key")),
+        "customer_key",
+        lambda: F.col("is_repeat_customer"),
         needs=frozenset({"is_repeat_customer"}),
         ignores=frozenset({"is_repeat_customer"}),
     ),
@@ -105,12 +111,12 @@ MEASURES: dict[str, Total | Distinct | Ratio] = {
     "scored_reviews": _count(REVIEWS, lambda: F.col("review_score").isNotNull()),
     "review_count": _count(REVIEWS),
     "five_star_reviews": _count(REVIEWS, lambda: F.col("review_score") == 5),
-    "reviewed_orders": Distinct(REVIEWS, lambda: F.col("order_id")),
+    "reviewed_orders": Distinct(REVIEWS, "order_id"),
     "avg_review_score": Ratio("review_scores", "scored_reviews"),
     "review_response_rate": Ratio("reviewed_orders", "order_count"),
     "five_star_pct": Ratio("five_star_reviews", "review_count"),
     # Payments
     "payment_rows": _count(PAYMENTS),
-    "paid_orders": Distinct(PAYMENTS, lambda: F.col("order_id")),
+    "paid_orders": Distinct(PAYMENTS, "order_id"),
     "average_basket": Ratio("total_payments", "paid_orders"),
 }

@@ -8,7 +8,7 @@ that holds a large part of the rows arrives as one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any, Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -154,69 +154,112 @@ def _result(name: str) -> Column:
 def _aggregate(
     star: Star, fact: str, names: list[str], by: list[str], where: dict[str, Any], role: str
 ) -> DataFrame:
+    """The measures of one fact under one set of filters."""
     rows = star.gold(fact)
-    own = [c for c in rows.columns if c not in ("purchase_year", "purchase_month")]
-    measures = {name: MEASURES[name] for name in names}
-    needs = {c for m in measures.values() if isinstance(m, Distinct) for c in m.needs}
+    own = {c for c in rows.columns if c not in ("purchase_year", "purchase_month")}
+    totals = {n: m for n in names if isinstance(m := MEASURES[n], Total)}
+    distincts = {n: m for n in names if isinstance(m := MEASURES[n], Distinct)}
 
     wanted: dict[str, list[str]] = {}
-    for column in [*by, *where, *needs]:
+    needs = [c for m in distincts.values() for c in sorted(m.needs)]
+    for column in dict.fromkeys([*by, *where, *needs]):
         if column not in own:
-            dimension = _path(fact, column, own)
-            wanted.setdefault(dimension, [])
-            if column not in wanted[dimension]:
-                wanted[dimension].append(column)
+            wanted.setdefault(_path(fact, column, own), []).append(column)
 
-    for column in where.keys() & set(own):
+    for column in where.keys() & own:
         rows = rows.where(condition(column, where[column]))
-
     if "DimDate" in wanted:
-        if role != "purchase" and DATE_ROLES[role] not in own:
-            raise ValueError(f"{fact} has no {role} date")
-        columns = wanted.pop("DimDate")
-        days = star.gold("DimDate").select("date_key", *columns)
-        filters = [c for c in columns if c in where]
-        for column in filters:
-            days = days.where(condition(column, where[column]))
-        rows = on_days(rows, days, role, "inner" if filters else "left")
+        rows = _dated(star, rows, fact, own, wanted.pop("DimDate"), where, role)
 
     foreign = sorted({FOREIGN_KEY[d] for d in wanted})
-    totals = {n: m for n, m in measures.items() if isinstance(m, Total)}
-    distincts = {n: m for n, m in measures.items() if isinstance(m, Distinct)}
-    if not foreign:
-        return rows.groupBy(*by).agg(
-            *[F.sum(m.rows()).cast(m.result).alias(n) for n, m in totals.items()],
-            *[F.count_distinct(m.rows()).alias(n) for n, m in distincts.items()],
-        )
-
-    early = [m for m in distincts.values() if not m.needs]
-    grain = [c for c in by if c in rows.columns]
-    if not distincts or foreign == ["customer_key"]:
-        # An order has one customer, so this grain is an order at the finest and often a customer.
-        ids = [m.rows().alias(f"_{n}") for n, m in distincts.items() if m in early]
-        late = {c for m in distincts.values() if m.needs for c in ("customer_key",)}
-        keys = [*dict.fromkeys([*foreign, *late, *grain])]
-        rows = rows.groupBy(*keys, *ids).agg(
-            *[F.sum(m.rows()).alias(f"_{n}") for n, m in totals.items()],
-            F.count(F.lit(1)).alias("_rows"),
-        )
-        summed = {n: F.col(f"_{n}") for n in totals}
-        counted = {n: F.col(f"_{n}") if m in early else m.rows() for n, m in distincts.items()}
-    else:
-        summed = {n: m.rows() for n, m in totals.items()}
-        counted = {n: m.rows() for n, m in distincts.items()}
-
-    for key in foreign:
-        dimensions = {d: c for d, c in wanted.items() if FOREIGN_KEY[d] == key}
-        filtered = any(c in where for columns in dimensions.values() for c in columns)
-        rows = rows.join(_dimension(star, key, dimensions, where), key, "inner" if filtered else "left")
-    return rows.groupBy(*by).agg(
-        *[F.sum(summed[n]).cast(m.result).alias(n) for n, m in totals.items()],
-        *[F.count_distinct(counted[n]).alias(n) for n in distincts],
-    )
+
+    def joined(frame: DataFrame) -> DataFrame:
+        for key in foreign:
+            columns = {d: c for d, c in wanted.items() if FOREIGN_KEY[d] == key}
+            filtered = any(c in where for names in columns.values() for c in names)
+            dimension = _dimension(star, key, columns, where)
+            frame = frame.join(dimension, key, "inner" if filtered else "left")
+        return frame
+
+    # An order and a customer each have one customer key. With no other dimension a frame at the grain of
+    # the counted id carries the totals along; otherwise the totals are taken on their own.
+    narrow = foreign in ([], ["customer_key"])
+    grain = [*foreign, *[c for c in by if c in rows.columns]]
+    frames = []
+    if totals and not (distincts and narrow):
+        frames.append(_totals(rows, joined, grain if foreign else None, by, totals))
+        totals = {}
+    for counted in sorted({m.of for m in distincts.values()}):
+        measures = {n: m for n, m in distincts.items() if m.of == counted}
+        if narrow:
+            frames.append(_per_id(rows, joined, grain, by, counted, measures, totals))
+            totals = {}
+        else:
+            frames.append(_per_id(joined(rows), lambda frame: frame, by, by, counted, measures, {}))
+    return merge(frames, by, names)
+
+
+def _totals(
+    rows: DataFrame,
+    joined: Callable[[DataFrame], DataFrame],
+    grain: list[str] | None,
+    by: list[str],
+    totals: dict[str, Total],
+) -> DataFrame:
+    """Sums by ``by``; with a grain, summed by that first and joined to the dimensions after."""
+    if grain is None:
+        return rows.groupBy(*by).agg(*[F.sum(m.rows()).cast(m.result).alias(n) for n, m in totals.items()])
+    early = rows.groupBy(*dict.fromkeys(grain)).agg(*[F.sum(m.rows()).alias(f"_{n}") for n, m in totals.items()])
+    return joined(early).groupBy(*by).agg(*[F.sum(f"_{n}").cast(m.result).alias(n) for n, m in totals.items()])
+
+
+def _per_id(
+    rows: DataFrame,
+    joined: Callable[[DataFrame], DataFrame],
+    grain: list[str],
+    by: list[str],
+    counted: str,
+    measures: dict[str, Distinct],
+    totals: dict[str, Total],
+) -> DataFrame:
+    """Distinct counts of one id: a row per id first, with a flag per condition, then plain counts.
+
+    However many conditions there are, every id is shuffled once per group. Spark's own plan for several
+    distinct counts sends each row once per count.
+    """
+    at_hand = set(rows.columns)
+    known = {n: m for n, m in measures.items() if m.when is not None and m.needs <= at_hand}
+    keys = [F.col(c) for c in dict.fromkeys([*grain, counted])]
+    parts = [
+        *[F.sum(m.rows()).alias(f"_{n}") for n, m in totals.items()],
+        *[F.max(m.when()).alias(f"_{n}") for n, m in known.items()],
+    ]
+    ids = rows.groupBy(*keys).agg(*parts) if parts else rows.select(*keys).distinct()
+    present = F.col(counted).isNotNull()
+    counts = []
+    for name, measure in measures.items():
+        test = present
+        if measure.when is not None:
+            test = present & (F.col(f"_{name}") if name in known else measure.when())
+        counts.append(F.count_if(test).alias(name))
+    sums = [F.sum(f"_{n}").cast(m.result).alias(n) for n, m in totals.items()]
+    return joined(ids).groupBy(*by).agg(*sums, *counts)
+
+
+def _dated(
+    star: Star, rows: DataFrame, fact: str, own: set[str], columns: list[str], where: dict[str, Any], role: str
+) -> DataFrame:
+    """Calendar columns for the date of the role, calendar filters applied."""
+    if DATE_ROLES[role] not in own:
+        raise ValueError(f"{fact} has no {role} date")
+    days = star.gold("DimDate").select("date_key", *columns)
+    filters = [c for c in columns if c in where]
+    for column in filters:
+        days = days.where(condition(column, where[column]))
+    return on_days(rows, days, role, "inner" if filters else "left")
 
 
-def _path(fact: str, column: str, own: list[str]) -> str:
+def _path(fact: str, column: str, own: set[str]) -> str:
     dimension = _DIMENSION.get(column)
     if dimension is None:
         raise ValueError(f"{column} is a column of neither {fact} nor a dimension")

@@ -148,8 +148,14 @@ def pareto(star: Star) -> DataFrame:
 
 
 def as_of(star: Star) -> Column:
-    """The last purchase date on record, as a scalar subquery: the day relative periods count from."""
-    last = star.gold(ITEMS).agg(F.max("purchase_date_key").alias("last"))
+    """The last purchase date on record, as a scalar subquery: the day relative periods count from.
+
+    The last month comes from the partition columns, and only its folder is read for the day.
+    """
+    items = star.gold(ITEMS)
+    month = month_index("purchase_year", "purchase_month")
+    last_month = items.agg(F.max(month)).scalar()
+    last = items.where(month == last_month).agg(F.max("purchase_date_key").alias("last"))
     day = F.to_date(F.col("last").cast("string"), "yyyyMMdd")
     return last.select(day.alias("as_of")).scalar()
 
@@ -174,9 +180,11 @@ def last_days(star: Star, days: int = 30, day: Column | None = None) -> DataFram
     """From ``days`` days before ``day`` to ``day`` itself: one day more than the rolling measure."""
     day = as_of(star) if day is None else day
     start = F.date_sub(day, days)
+    bought = month_index("purchase_year", "purchase_month")
     return star.gold(ITEMS).where(
         (F.col("purchase_date_key") >= date_key(start))
         & (F.col("purchase_date_key") <= date_key(day))
-        & (F.col("purchase_year") >= F.year(start))
-        & (F.col("purchase_year") <= F.year(day))
+        # The same span in months, for the folders.
+        & (bought >= month_index(F.year(start), F.month(start)))
+        & (bought <= month_index(F.year(day), F.month(day)))
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storelens.plans import gold, silver
 from storelens.schemas import GOLD, SILVER
-from storelens.session import path_bytes
+from storelens.session import path_bytes, staging_area
 
 # Written beside the gold tables for the facts to share; not part of the star.
 HEADER = "_order_header"
@@ -103,7 +103,8 @@ class Warehouse:
             lock = self._locks[key]
         with lock:
             if key not in self._tables:
-                self._tables[key] = self._write(plan(), layer, name)
+                with staging_area(self.spark):
+                    self._tables[key] = self._write(plan(), layer, name)
             return self._tables[key]
 
     def _path(self, layer: str, name: str) -> str:

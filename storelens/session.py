@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,13 +58,30 @@ def application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/storelens/{spark.sparkContext.applicationId}"
 
 
+_areas = threading.local()
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes when the block ends; the block must have written its result by then."""
+    areas = _areas.__dict__.setdefault("open", [])
+    areas.append(f"{application_dir(spark)}/staged/{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove_path(spark, areas.pop())
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Cuts the lineage, fixes the outcome of nondeterministic columns and survives lost executors.
+    Cuts the lineage, fixes the outcome of nondeterministic columns and survives lost executors. Outside
+    a ``staging_area`` the copy stays until the application's folder is cleared.
     """
     spark = df.sparkSession
-    path = f"{application_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    areas = _areas.__dict__.get("open")
+    folder = areas[-1] if areas else f"{application_dir(spark)}/staged"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

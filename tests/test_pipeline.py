@@ -362,6 +362,29 @@ def test_distinct_counts_survive_early_aggregation(built):
     assert (sellers["s1"]["order_count"], sellers["s2"]["order_count"]) == (3, 3)
 
 
+def test_distinct_counts_by_a_product_column(built):
+    names = ["repeat_customers", "active_customers", "order_count", "delivered_orders", "gmv"]
+    rows = by(report(built, names, ["category_en"]), "category_en")
+    # Bedding was bought in o1 and o2 by one repeat buyer and in o4 by someone else.
+    bedding = rows["bed_bath_table"]
+    assert [bedding[n] for n in names] == [1, 2, 3, 2, Decimal("231.00")]
+    both = by(report(built, names, ["category_en", "region"]), "region")
+    assert [both["North"][n] for n in names] == [0, 1, 1, 0, Decimal("33.00")]
+
+
+def test_several_distinct_counts_do_not_multiply_rows(built):
+    plan = plan_of(report(built, ["order_count", "delivered_orders", "canceled_orders", "active_customers"]))
+    assert "Expand" not in plan
+
+
+def test_nothing_staged_is_left_behind(spark, built):
+    from pathlib import Path
+
+    from storelens.session import application_dir
+
+    assert not list(Path(application_dir(spark), "staged").glob("*/rank-customer_key*"))
+
+
 def test_new_customers_ignore_the_filter_on_their_history(built):
     rows = by(timeline.new_customers(built, ["year_month"]), "year_month")
     assert {m: r["new_customers"] for m, r in rows.items()} == {"2017-11": 1, "2018-01": 1, "2018-03": 2}
