@@ -18,6 +18,7 @@ from storelens.plans import timeline
 from storelens.plans.measures import ITEMS, REVIEWS
 from storelens.plans.metrics import Star, condition, merge, report
 from storelens.schemas import DELIVERY_BINS
+from storelens.session import staged
 
 Where = Mapping[str, Any] | None
 
@@ -191,9 +192,10 @@ def _reviews_by_category(star: Star) -> DataFrame:
     """Reviews reach a category through the items of their order and count once per item.
 
     Reviews are added up per order before the join, so an order with many reviews and many items gives
-    one row per item, not one per pair.
+    one row per item, not one per pair. The sums are staged: joined straight from the grouping, the side
+    of the items would have to keep the grouping's partitions, and AQE could not split a hot order.
     """
-    per_order = (
+    per_order = staged(
         star.gold(REVIEWS)
         .groupBy("order_id")
         .agg(
@@ -201,7 +203,8 @@ def _reviews_by_category(star: Star) -> DataFrame:
             F.count("review_score").alias("scored"),
             F.sum("review_score").alias("scores"),
             F.count_if(F.col("review_score") == 5).alias("five_star"),
-        )
+        ),
+        "order-reviews",
     )
     items = star.gold(ITEMS).select("order_id", "product_key")
     per_product = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions import clean_lower, clean_upper, money, safe_timestamp
 from storelens.operators import latest
+from storelens.session import staged
 
 
 def orders(bronze: DataFrame) -> DataFrame:
@@ -63,10 +64,16 @@ def order_reviews(bronze: DataFrame) -> DataFrame:
 def products(bronze: DataFrame, translation: DataFrame) -> DataFrame:
     """Category in English, else as it came, else ``unknown``.
 
-    The translation is reduced to a row per name first, so a repeated name cannot multiply products.
+    The translation is reduced to a row per name first, so a repeated name cannot multiply products. It
+    is staged: Spark then sees its true size and, as long as that is small, broadcasts it and leaves the
+    products where they are. Past that size both sides of the join are plain shuffles, in which AQE
+    splits a category (or the missing one) that holds a large part of the products.
     """
-    names = latest(translation, ["product_category_name"]).select(
-        F.col("product_category_name").alias("category_pt"), "product_category_name_english"
+    names = staged(
+        latest(translation, ["product_category_name"]).select(
+            F.col("product_category_name").alias("category_pt"), "product_category_name_english"
+        ),
+        "translation",
     )
     typed = latest(bronze, ["product_id"]).select(
         "product_id",

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from storelens.plans import timeline
-from storelens.plans.metrics import Star, report
+from storelens.plans.metrics import Star, merge, report
 
 # Term -> measure.
 TERMS = {
@@ -27,7 +27,9 @@ TERMS = {
     "on-time share": "on_time_delivery_pct",
     "average delivery time": "avg_delivery_days",
     "late delivery": "late_items",
+    "payments": "total_payments",
 }
+NEW_CUSTOMERS = "new customers"
 
 # Term -> filter.
 FILTERS: dict[str, dict[str, Any]] = {
@@ -48,6 +50,17 @@ FILTERS: dict[str, dict[str, Any]] = {
     "garden tools": {"category_en": "garden_tools"},
 }
 
+# Term -> grouping column.
+GROUPS = {
+    "region": "region",
+    "state": "customer_state",
+    "category": "category_en",
+    "day of week": "day_name",
+    "month": "year_month",
+    "installments": "payment_installments",
+    "payment type": "payment_type",
+}
+
 # Terms for a stretch of time, each a selection of item rows counted from the last purchase on record.
 PERIODS: dict[str, Callable[[Star], DataFrame]] = {
     "this month": lambda star: timeline.in_month(star),
@@ -64,8 +77,17 @@ def answer(
     filters: Sequence[str] = (),
     where: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """A report asked for in business words; ``where`` adds filters on columns."""
+    """A report asked for in business words; ``where`` adds filters on columns.
+
+    "new customers" looks at the calendar only: it may be grouped and filtered by calendar columns.
+    """
     combined: dict[str, Any] = dict(where or {})
     for term in filters:
         combined.update(FILTERS[term])
-    return report(star, [TERMS[t] for t in terms], by, combined)
+    columns = [GROUPS.get(b, b) for b in by]
+    names = [TERMS[t] for t in terms if t != NEW_CUSTOMERS]
+    frames = [report(star, names, columns, combined)] if names else []
+    if NEW_CUSTOMERS in terms:
+        frames.append(timeline.new_customers(star, columns, combined))
+        names.append("new_customers")
+    return merge(frames, columns, names)

@@ -477,6 +477,10 @@ def test_business_words(built):
     got = vocabulary.answer(built, ["revenue", "order count"], filters=["black friday", "home textiles"]).first()
     assert (got["gmv"], got["order_count"]) == (Decimal("198.00"), 2)
     assert vocabulary.answer(built, ["late delivery"]).first()["late_items"] == 0
+    months = by(vocabulary.answer(built, ["new customers", "revenue"], ["month"]), "year_month")
+    assert (months["2018-03"]["new_customers"], months["2018-03"]["gmv"]) == (2, Decimal("55.00"))
+    plans = by(vocabulary.answer(built, ["payments"], ["installments"]), "payment_installments")
+    assert plans[3]["total_payments"] == Decimal("165.50")
 
 
 def test_snapshot(spark, built, tmp_path):
