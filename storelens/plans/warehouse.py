@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storelens.plans import gold, silver
 from storelens.schemas import GOLD, SILVER
-from storelens.session import path_bytes, staging_area
+from storelens.session import path_bytes, path_exists, staging_area
 
 # Written beside the gold tables for the facts to share; not part of the star.
 HEADER = "_order_header"
@@ -102,7 +102,9 @@ class Warehouse:
         with self._guard:
             lock = self._locks[key]
         with lock:
-            if key not in self._tables:
+            # A table whose files are gone is built again.
+            done = f"{self._path(layer, name)}/_SUCCESS"
+            if key not in self._tables or not path_exists(self.spark, done):
                 with staging_area(self.spark):
                     self._tables[key] = self._write(plan(), layer, name)
             return self._tables[key]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,21 +29,23 @@ YEAR, MONTH, MONTH_NAME = 1998, 11, "November"
 STATE, REGION, CATEGORY = "NATION_7", "ASIA", "cat_economy"
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
+_guard = Lock()
 
 
 def warehouse(spark: SparkSession, root: str) -> Warehouse:
     """The written layers of ``root``, shared by all queries of this application."""
     key = (spark.sparkContext.applicationId, root)
-    if key not in _warehouses:
-        mark = hashlib.sha256(root.encode()).hexdigest()[:12]
-        _warehouses[key] = Warehouse(
-            spark,
-            f"{application_dir(spark)}/warehouse-{mark}-{uuid.uuid4().hex[:8]}",
-            lambda name: testviews.BRONZE[name](spark, root),
-            testviews.calendar_bounds(spark, root),
-            testviews.region_map(spark, root),
-        )
-    return _warehouses[key]
+    with _guard:
+        if key not in _warehouses:
+            mark = hashlib.sha256(root.encode()).hexdigest()[:12]
+            _warehouses[key] = Warehouse(
+                spark,
+                f"{application_dir(spark)}/warehouse-{mark}-{uuid.uuid4().hex[:8]}",
+                lambda name: testviews.BRONZE[name](spark, root),
+                testviews.calendar_bounds(spark, root),
+                testviews.region_map(spark, root),
+            )
+        return _warehouses[key]
 
 
 def _star(make: Callable[[Warehouse], DataFrame]) -> Query:
