@@ -23,7 +23,7 @@ from storelens.sources import testviews
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-WARM_UP = 2  # layer builds that only warm the JVM up
+WARM_UP = 3  # layer builds that only warm the JVM up
 
 QUESTIONS = (
     "q_top_categories_year",

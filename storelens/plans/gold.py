@@ -115,12 +115,15 @@ def order_header(orders: DataFrame, bridge: DataFrame) -> DataFrame:
 def fact_order_items(
     items: DataFrame, header: DataFrame, products: DataFrame, sellers: DataFrame
 ) -> DataFrame:
-    """One row per item line; a line without an order goes, one without product or seller stays."""
+    """One row per item line; a line without an order goes, one without product or seller stays.
+
+    The keys are looked up before the order's columns are joined, while the lines are still narrow.
+    """
     return (
         items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-        .join(header, "order_id")
         .join(products.select("product_id", "product_key"), "product_id", "left")
         .join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
+        .join(header, "order_id")
         .select(
             "order_id",
             "order_item_id",

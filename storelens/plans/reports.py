@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import bucketize, ratio, total_money
@@ -231,7 +231,8 @@ def category_reviews(star: Star, n: int = 10) -> DataFrame:
 
 def five_star_share(star: Star, n: int = 10, at_least: int = 100) -> DataFrame:
     rows = _reviews_by_category(star).where(F.col("reviews") >= at_least)
-    rows = rows.select("category_en", F.col("reviews").alias("review_rows"), ratio("five_star", "reviews").alias("five_star_pct"))
+    share = ratio("five_star", "reviews").alias("five_star_pct")
+    rows = rows.select("category_en", F.col("reviews").alias("review_rows"), share)
     return top_n(rows, F.col("five_star_pct").desc(), n, ["category_en"])
 
 

@@ -157,8 +157,8 @@ def incremental_upsert(spark: SparkSession, root: str) -> DataFrame:
     middle = first + (last - first) / 2
     target, staging = _scratch(spark, "items"), _scratch(spark, "merges")
     keys = ["order_id", "order_item_id"]
-    upsert(delta_since(items, middle), 0, target, keys, staging)
-    upsert(items.where(F.col("_ingested_at") <= F.lit(middle)), 1, target, keys, staging)
+    upsert(delta_since(items, middle), 0, target, keys, staging, buckets=16)
+    upsert(items.where(F.col("_ingested_at") <= F.lit(middle)), 1, target, keys, staging, buckets=16)
     return silver.order_items(spark.read.schema(items.schema).parquet(target))
 
 
@@ -169,7 +169,7 @@ def stream_upsert_items(spark: SparkSession, root: str) -> DataFrame:
     arriving = spark.readStream.schema(schema).parquet(f"{root}/lineitem.parquet*")
     target, checkpoint = _scratch(spark, "items"), _scratch(spark, "stream")
     mapped = testviews.order_items_of(arriving)
-    stream_upsert(mapped, target, ["order_id", "order_item_id"], checkpoint).awaitTermination()
+    stream_upsert(mapped, target, ["order_id", "order_item_id"], checkpoint, buckets=16).awaitTermination()
     return silver.order_items(spark.read.parquet(target).drop(BUCKET))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings a Spark user would put in spark-defaults; nothing in the library depends on a value here.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

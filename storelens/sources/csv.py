@@ -13,18 +13,22 @@ from storelens.session import path_exists
 
 log = logging.getLogger(__name__)
 
-# A quoted field may hold commas, doubled quotes and line breaks. A malformed record fails the job.
-CSV_OPTIONS = {"header": "true", "mode": "FAILFAST", "multiLine": "true", "quote": '"', "escape": '"'}
+# A quoted field may hold commas and doubled quotes. A malformed record fails the job.
+CSV_OPTIONS = {"header": "true", "mode": "FAILFAST", "quote": '"', "escape": '"'}
+
+# Tables whose text may hold line breaks. Their files are read whole, one task each; all others are split.
+MULTI_LINE = frozenset({"order_reviews"})
 
 
 def ingest(
-    spark: SparkSession, path: str, schema: str, source: str | None, run_ts: datetime
+    spark: SparkSession, path: str, schema: str, source: str | None, run_ts: datetime, multi_line: bool = False
 ) -> DataFrame:
     """Typed CSV scan with audit columns; timestamps stay text until silver.
 
     ``source`` names the file in ``_source_file``; without it each row gets the name of its own file.
+    ``multi_line`` allows line breaks inside quotes, at the price of not splitting files.
     """
-    frame = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    frame = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
     name = F.lit(source) if source else F.col("_metadata.file_name")
     return frame.withColumn("_source_file", name).withColumn("_ingested_at", F.lit(run_ts).cast("timestamp"))
 
@@ -50,7 +54,7 @@ def ingest_all(
         if not path_exists(spark, path):
             log.warning("skip %s: no source at %s", name, path)
             continue
-        frame = ingest(spark, path, schema, file, run_ts)
+        frame = ingest(spark, path, schema, file, run_ts, name in MULTI_LINE)
         target = f"{dst}/{name}"
         if partitioned:
             frame = frame.withColumn("_ingest_date", F.to_date("_ingested_at"))

@@ -189,7 +189,10 @@ def calendar_bounds(spark: SparkSession, root: str) -> DataFrame:
     return (
         first.unionByName(last)
         .agg(F.year(F.min("seen")).alias("a"), F.year(F.max("seen")).alias("b"))
-        .select(F.make_date("a", F.lit(1), F.lit(1)).alias("first"), F.make_date("b", F.lit(12), F.lit(31)).alias("last"))
+        .select(
+            F.make_date("a", F.lit(1), F.lit(1)).alias("first"),
+            F.make_date("b", F.lit(12), F.lit(31)).alias("last"),
+        )
     )
 
 

@@ -18,7 +18,7 @@ BUCKET = "_bucket"
 
 
 def stream_bronze(
-    spark: SparkSession, src: str, dst: str, schema: str, checkpoint: str
+    spark: SparkSession, src: str, dst: str, schema: str, checkpoint: str, multi_line: bool = False
 ) -> StreamingQuery:
     """Append the CSV files that came into ``src`` since the last call, partitioned by ingest date.
 
@@ -26,7 +26,7 @@ def stream_bronze(
     """
     rows = (
         spark.readStream.schema(schema)
-        .options(**CSV_OPTIONS)
+        .options(**CSV_OPTIONS, multiLine=multi_line)
         .csv(src)
         .withColumn("_source_file", F.col("_metadata.file_name"))
         .withColumn("_ingested_at", F.current_timestamp())

@@ -38,10 +38,10 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     Path(src).mkdir()
     shutil.copy(first / "order_reviews.csv", Path(src) / "day1.csv")
     for _ in range(2):
-        stream_bronze(spark, src, dst, RAW["order_reviews"], checkpoint).awaitTermination()
+        stream_bronze(spark, src, dst, RAW["order_reviews"], checkpoint, multi_line=True).awaitTermination()
         assert spark.read.parquet(dst).count() == 2
     shutil.copy(second / "order_reviews.csv", Path(src) / "day2.csv")
-    stream_bronze(spark, src, dst, RAW["order_reviews"], checkpoint).awaitTermination()
+    stream_bronze(spark, src, dst, RAW["order_reviews"], checkpoint, multi_line=True).awaitTermination()
     rows = spark.read.parquet(dst)
     assert rows.count() == len(ROWS["order_reviews"])
     assert {r[0] for r in rows.select("_source_file").distinct().collect()} == {"day1.csv", "day2.csv"}

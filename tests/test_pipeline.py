@@ -31,13 +31,19 @@ def by(df, key: str) -> dict:
 
 def test_csv_text_may_hold_commas_quotes_and_line_breaks(spark, tmp_path):
     src = write_csv(tmp_path)
-    rows = ingest(spark, f"{src}/order_reviews.csv", RAW["order_reviews"], "reviews.csv", RUN)
+    rows = ingest(spark, f"{src}/order_reviews.csv", RAW["order_reviews"], "reviews.csv", RUN, multi_line=True)
     assert rows.count() == len(ROWS["order_reviews"])
     first = rows.where("review_id = 'r1'").collect()[0]
     assert first["review_comment_message"] == 'Good, "very" good\nand fast'
     assert first["_source_file"] == "reviews.csv" and first["_ingested_at"] == datetime(2024, 5, 1, 12)
 
 
+def test_a_line_break_where_none_belongs_fails(spark, tmp_path):
+    src = write_csv(tmp_path, {"sellers": [["s1", "1001", "sao\npaulo", "SP"]]})
+    with pytest.raises(Exception, match="MALFORMED"):
+        ingest(spark, f"{src}/sellers.csv", RAW["sellers"], None, RUN).collect()
+
+
 def test_csv_that_does_not_fit_its_types_fails(spark, tmp_path):
     bad = {"order_payments": [["o1", "1", "boleto", "one", "3.00"]]}
     src = write_csv(tmp_path, bad)
