@@ -60,6 +60,11 @@ class Warehouse:
         """A gold table with its published columns only."""
         return self.gold(name).drop(*gold.FACT_PARTITIONS)
 
+    def register(self, prefix: str = "") -> None:
+        """Views over the star for SQL users: facts, dimensions and the bridge, by their own names."""
+        for name in GOLD:
+            self.star(name).createOrReplaceTempView(f"{prefix}{name}")
+
     def gold_plan(self, name: str) -> DataFrame:
         """The plan of a gold table over the written tables below it."""
         s, g = self.silver, self.gold

@@ -262,6 +262,18 @@ def test_facts_have_the_published_columns(built):
     assert reviews["r3"]["response_days"] == 1 and reviews["r4"]["response_days"] is None
 
 
+def test_the_star_answers_sql(spark, built):
+    built.register()
+    asked = spark.sql("""
+        SELECT p.category_en, ROUND(SUM(f.total_value), 2) AS gmv
+        FROM FactOrderItems f
+        JOIN DimProduct p ON f.product_key = p.product_key
+        JOIN DimDate d ON f.purchase_date_key = d.date_key
+        WHERE d.year = 2017 GROUP BY p.category_en ORDER BY gmv DESC LIMIT 5
+    """)
+    assert values(asked) == values(reports.top_categories(built, 5, {"year": 2017}))
+
+
 def test_row_counts(built):
     counts = gold.row_counts({n: built.gold(n) for n in GOLD if n[0] != "_"})
     assert {r["table"]: r["rows"] for r in counts.collect()} == {

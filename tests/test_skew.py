@@ -17,6 +17,7 @@ LARGE = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
 }
 ROWS = 30_000
 
