@@ -108,8 +108,7 @@ class Warehouse:
             lock = self._locks[key]
         with lock:
             # A table whose files are gone is built again.
-            done = f"{self._path(layer, name)}/_SUCCESS"
-            if key not in self._tables or not path_exists(self.spark, done):
+            if key not in self._tables or not path_exists(self.spark, self._path(layer, name)):
                 with staging_area(self.spark):
                     self._tables[key] = self._write(plan(), layer, name)
             return self._tables[key]

@@ -77,7 +77,9 @@ def upsert(
         survivors = latest(rows, keys, order, tie=[c for c in batch.columns if c not in keys])
         # AQE sizes the write tasks: small buckets share one, a large bucket is split.
         placed = survivors.hint("rebalance", F.col(BUCKET))
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(merged)
+        # The mark of a complete merge, also where the cluster's default leaves it out.
+        marked = placed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        marked.mode("overwrite").partitionBy(BUCKET).parquet(merged)
     (
         spark.read.parquet(merged)
         .write.mode("overwrite")

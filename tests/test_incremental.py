@@ -105,3 +105,14 @@ def test_a_stream_keeps_the_table_up_to_date(spark, tmp_path):
         stream_upsert(arriving, target, ["k"], checkpoint, buckets=3).awaitTermination()
         expected = latest(rows_at(spark, everything), ["k"]).select("k", "_ingested_at", "v")
         assert values(table(spark, target)) == values(expected)
+
+
+def test_a_merge_is_marked_whatever_the_default(spark, tmp_path):
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(key, "false")
+    try:
+        upsert(rows_at(spark, [(1, 0, "a")]), 0, str(tmp_path / "t"), ["k"], str(tmp_path / "s"), buckets=2)
+    finally:
+        conf.unset(key)
+    assert (tmp_path / "s/0/_SUCCESS").exists()

@@ -570,3 +570,13 @@ def test_no_gold_build_gathers_rows_in_one_task(built):
 def test_an_empty_review_text_reads_as_null(built):
     rows = by(built.silver("order_reviews"), "review_id")
     assert rows["r2"]["review_comment_message"] is None
+
+
+def test_a_table_whose_files_are_gone_is_built_again(spark, built, tmp_path):
+    from pathlib import Path
+
+    bronze = {n: f"{built.root}/bronze/{n}" for n in RAW}
+    star = pipeline.open_bronze(spark, bronze, str(tmp_path / "star"))
+    assert star.gold("DimSeller").count() == 2
+    Path(tmp_path, "star/gold/DimSeller").rename(tmp_path / "elsewhere")
+    assert star.gold("DimSeller").count() == 2
