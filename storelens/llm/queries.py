@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import exact_dedup, sharding, simhash
+from storelens.llm import exact_dedup, packing, sharding, simhash
 from storelens.llm.common import table
 from storelens.session import application_dir
 
@@ -56,3 +57,8 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
     )
+
+
+@query
+def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
