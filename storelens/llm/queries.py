@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import exact_dedup, packing, sharding, simhash
+from storelens.llm import exact_dedup, packing, quality, sharding, simhash
 from storelens.llm.common import table
 from storelens.session import application_dir
 
@@ -62,3 +62,8 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
