@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import exact_dedup, packing, quality, sharding, simhash
+from storelens.llm import decontamination, exact_dedup, packing, quality, sharding, simhash
 from storelens.llm.common import table
 from storelens.session import application_dir
 
@@ -19,6 +19,11 @@ def query(run):
     return run
 
 
+@query
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, distinct=False, max_distance=4)
