@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import decontamination, exact_dedup, packing, quality, sharding, simhash
+from storelens.llm import decontamination, exact_dedup, packing, quality, sharding, simhash, substrings
 from storelens.llm.common import table
 from storelens.session import application_dir
 
@@ -72,3 +72,9 @@ def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.kept_words(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
