@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import decontamination, exact_dedup, packing, quality, sharding, simhash, substrings
+from storelens.llm import decontamination, exact_dedup, extraction, packing, quality, sharding, simhash, substrings
 from storelens.llm.common import table
 from storelens.session import application_dir
 
@@ -78,3 +78,8 @@ def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.kept_words(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(table(spark, sf_dir, "pages"))
