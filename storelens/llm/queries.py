@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import decontamination, exact_dedup, extraction, packing, quality, sharding, simhash, substrings
+from storelens.llm import conversations, decontamination, exact_dedup, extraction, language_model, packing, quality, sharding, simhash, substrings
 from storelens.llm.common import table
 from storelens.session import application_dir
 
@@ -83,3 +83,13 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.linked(table(spark, sf_dir, "conversations"))
