@@ -39,7 +39,7 @@ from storelens.session import staged
 LENGTH = 35
 ANCHOR = 8
 BLOCK_WORDS = 1 << 20
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 MOST_FILTER_BITS = 1 << 28
 # An anchor with more than this share of all segments, and more than so many, is sent window by window.
 HOT_SHARE = 1e-6
