@@ -87,6 +87,7 @@ def main() -> None:
             lambda name, root=root: spark.read.parquet(f"{root}/bronze/{name}"),
             testviews.calendar_bounds(spark, SF_DIR),
             testviews.region_map(spark, SF_DIR),
+            partitioned=False,
         )
         took = {
             "bronze_build": timed(lambda: write_bronze(spark, root)),

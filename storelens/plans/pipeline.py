@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storelens.operators import date_bounds
 from storelens.plans import gold
-from storelens.plans.warehouse import Warehouse
+from storelens.plans.warehouse import Lake, Warehouse
 from storelens.schemas import RAW
 from storelens.sources.csv import ingest_all
 
@@ -24,24 +25,43 @@ def run(
     files: dict[str, str] | None = None,
     calendar: tuple[date, date] = CALENDAR,
     regions: DataFrame | None = None,
+    partitioned: bool = True,
 ) -> Warehouse:
-    """Rebuild bronze, silver and gold under ``dst`` from the CSV files in ``src``."""
+    """Rebuild bronze, silver and gold under ``dst`` from the CSV files in ``src``.
+
+    Orders bought outside ``calendar`` would drop out of what joins it, so they are an error.
+    """
     written = ingest_all(spark, src, f"{dst}/bronze", run_ts or datetime.now(timezone.utc), files)
     missing = sorted(set(RAW) - set(written))
     if missing:
         raise FileNotFoundError(f"bronze lacks {', '.join(missing)}")
-    warehouse = open_bronze(spark, written, dst, calendar, regions)
+    warehouse = open_bronze(spark, written, dst, calendar, regions, partitioned)
     warehouse.build_silver()
+    outside = outside_calendar(warehouse.silver("orders"), calendar)
+    if outside:
+        raise ValueError(f"{outside} orders were bought outside the calendar, {calendar[0]} to {calendar[1]}")
     warehouse.build_gold()
+    warehouse.finish()
     return warehouse
 
 
+def outside_calendar(orders: DataFrame, calendar: tuple[date, date]) -> int:
+    bought = F.to_date("order_purchase_ts")
+    return orders.where((bought < F.lit(calendar[0])) | (bought > F.lit(calendar[1]))).count()
+
+
+def open_lake(spark: SparkSession, dst: str) -> Lake:
+    """The star that an earlier ``run`` finished under ``dst``, in any session and without a write."""
+    return Lake(spark, dst)
+
+
 def open_bronze(
     spark: SparkSession,
     bronze: dict[str, str],
     dst: str,
     calendar: tuple[date, date] = CALENDAR,
     regions: DataFrame | None = None,
+    partitioned: bool = True,
 ) -> Warehouse:
     """A warehouse over bronze tables that are already written."""
     return Warehouse(
@@ -50,4 +70,5 @@ def open_bronze(
         lambda name: spark.read.parquet(bronze[name]),
         date_bounds(spark, *calendar),
         gold.region_map(spark) if regions is None else regions,
+        partitioned,
     )

@@ -12,26 +12,22 @@ from pyspark.sql import functions as F
 
 from storelens.plans import gold, silver
 from storelens.schemas import GOLD, SILVER
-from storelens.session import path_bytes, path_exists, staging_area
+from storelens.session import path_exists, staging_area
 
 # Written beside the gold tables for the facts to share; not part of the star.
 HEADER = "_order_header"
 
-# A fact gets a folder per purchase month once its source fills such folders; below that a folder per
-# month only means many small files, and the two columns stay in the files.
-PARTITION_FROM_BYTES = 8 << 30
-FACT_SOURCES = {
-    "FactOrderItems": "order_items",
-    "FactPayments": "order_payments",
-    "FactReviews": "order_reviews",
-}
+FACTS = frozenset(("FactOrderItems", "FactPayments", "FactReviews"))
+# The mark of a finished build beside the layers.
+FINISHED = "_finished"
 
 
 class Warehouse:
     """Silver and gold under ``root``, as Parquet.
 
     A table is written when it is first asked for, together with what it depends on, and read from then
-    on. Nothing is taken over from an earlier run: ``root`` belongs to one build.
+    on. Nothing is taken over from an earlier run: ``root`` belongs to one build. Facts lie in folders by purchase
+    year and month; ``partitioned=False`` keeps the two columns in the files, for a shop whose months are small.
     """
 
     def __init__(
@@ -41,10 +37,10 @@ class Warehouse:
         bronze: Callable[[str], DataFrame],
         bounds: DataFrame,
         regions: DataFrame,
-        partition_from: int = PARTITION_FROM_BYTES,
+        partitioned: bool = True,
     ):
         self.spark, self.root, self.bronze = spark, root, bronze
-        self.partition_from = partition_from
+        self.partitioned = partitioned
         self._bounds, self._regions = bounds, regions
         self._tables: dict[tuple[str, str], DataFrame] = {}
         self._locks: dict[tuple[str, str], RLock] = defaultdict(RLock)
@@ -97,6 +93,10 @@ class Warehouse:
     def build_gold(self) -> None:
         self._together(self.gold, GOLD)
 
+    def finish(self) -> None:
+        """Marks the layers as complete, so that other sessions may open them."""
+        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{FINISHED}")
+
     def _together(self, build: Callable[[str], DataFrame], names: Iterable[str]) -> None:
         """Submit the tables side by side, so that small ones do not hold up the cluster one by one."""
         with ThreadPoolExecutor(max_workers=8) as pool:
@@ -118,11 +118,31 @@ class Warehouse:
 
     def _write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         path = self._path(layer, name)
-        source = FACT_SOURCES.get(name)
-        if source and path_bytes(self.spark, self._path("silver", source)) >= self.partition_from:
+        if name in FACTS and self.partitioned:
             # AQE sizes the write tasks: small months share one, a large month is split.
             placed = df.hint("rebalance", *[F.col(c) for c in gold.FACT_PARTITIONS])
             placed.write.mode("overwrite").partitionBy(*gold.FACT_PARTITIONS).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+class Lake(Warehouse):
+    """The finished layers of an earlier build, opened for reading: nothing is built and nothing is written."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        if not path_exists(spark, f"{root}/{FINISHED}"):
+            raise FileNotFoundError(f"{root} holds no finished build")
+        super().__init__(spark, root, self._no_source, None, None)
+
+    @staticmethod
+    def _no_source(name: str) -> DataFrame:
+        raise LookupError(f"an opened lake does not read bronze: {name}")
+
+    def _table(self, layer: str, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+        key = (layer, name)
+        if key not in self._tables:
+            if not path_exists(self.spark, self._path(layer, name)):
+                raise LookupError(f"the lake has no {layer} table {name}")
+            self._tables[key] = self.spark.read.parquet(self._path(layer, name))
+        return self._tables[key]

@@ -44,6 +44,7 @@ def warehouse(spark: SparkSession, root: str) -> Warehouse:
                 lambda name: testviews.BRONZE[name](spark, root),
                 testviews.calendar_bounds(spark, root),
                 testviews.region_map(spark, root),
+                partitioned=False,  # months of a few kilobytes
             )
         return _warehouses[key]
 
@@ -157,8 +158,8 @@ def incremental_upsert(spark: SparkSession, root: str) -> DataFrame:
     middle = first + (last - first) / 2
     target, staging = _scratch(spark, "items"), _scratch(spark, "merges")
     keys = ["order_id", "order_item_id"]
-    upsert(delta_since(items, middle), 0, target, keys, staging, buckets=16)
-    upsert(items.where(F.col("_ingested_at") <= F.lit(middle)), 1, target, keys, staging, buckets=16)
+    upsert(delta_since(items, middle), target, keys, staging, buckets=16)
+    upsert(items.where(F.col("_ingested_at") <= F.lit(middle)), target, keys, staging, buckets=16)
     return silver.order_items(spark.read.schema(items.schema).parquet(target))
 
 

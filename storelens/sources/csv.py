@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from storelens.schemas import RAW
 from storelens.session import path_exists
@@ -14,7 +15,7 @@ from storelens.session import path_exists
 log = logging.getLogger(__name__)
 
 # A quoted field may hold commas and doubled quotes. A malformed record fails the job.
-CSV_OPTIONS = {"header": "true", "mode": "FAILFAST", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": "true", "mode": "FAILFAST", "quote": '"', "escape": '"', "enforceSchema": "false"}
 
 # Tables whose text may hold line breaks. Their files are read whole, one task each; all others are split.
 MULTI_LINE = frozenset({"order_reviews"})
@@ -26,11 +27,20 @@ def ingest(
     """Typed CSV scan with audit columns; timestamps stay text until silver.
 
     ``source`` names the file in ``_source_file``; without it each row gets the name of its own file.
-    ``multi_line`` allows line breaks inside quotes, at the price of not splitting files.
+    ``multi_line`` allows line breaks inside quotes, at the price of not splitting files: a table of that kind should
+    come as a folder of files of some hundred megabytes each. Columns are matched by the names in the header, in any
+    order; further columns are left out, a missing one is an error, and so is a file of the folder with another header.
     """
-    frame = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
+    wanted = StructType.fromDDL(schema)
+    header = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(path).columns
+    missing = [name for name in wanted.names if name not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    laid = StructType([wanted[name] if name in wanted.names else StructField(name, StringType()) for name in header])
+    frame = spark.read.schema(laid).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
     name = F.lit(source) if source else F.col("_metadata.file_name")
-    return frame.withColumn("_source_file", name).withColumn("_ingested_at", F.lit(run_ts).cast("timestamp"))
+    stamped = frame.withColumn("_source_file", name).withColumn("_ingested_at", F.lit(run_ts).cast("timestamp"))
+    return stamped.select(*wanted.names, "_source_file", "_ingested_at")
 
 
 def ingest_all(

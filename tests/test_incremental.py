@@ -9,9 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from storelens.operators import latest
-from storelens.schemas import RAW
 from storelens.streaming import delta_since, stream_bronze, stream_upsert, upsert
-from storelens.streaming.incremental import BUCKET, bucket_of
+from storelens.streaming.incremental import BUCKET, bucket_of, merge_batch
 from tests.conftest import values
 from tests.retail import ROWS, write_csv
 
@@ -38,10 +37,10 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     Path(src).mkdir()
     shutil.copy(first / "order_reviews.csv", Path(src) / "day1.csv")
     for _ in range(2):
-        stream_bronze(spark, src, dst, RAW["order_reviews"], checkpoint, multi_line=True).awaitTermination()
+        stream_bronze(spark, src, dst, "order_reviews", checkpoint).awaitTermination()
         assert spark.read.parquet(dst).count() == 2
     shutil.copy(second / "order_reviews.csv", Path(src) / "day2.csv")
-    stream_bronze(spark, src, dst, RAW["order_reviews"], checkpoint, multi_line=True).awaitTermination()
+    stream_bronze(spark, src, dst, "order_reviews", checkpoint).awaitTermination()
     rows = spark.read.parquet(dst)
     assert rows.count() == len(ROWS["order_reviews"])
     assert {r[0] for r in rows.select("_source_file").distinct().collect()} == {"day1.csv", "day2.csv"}
@@ -64,17 +63,17 @@ def test_batches_in_any_order_give_the_full_rebuild(spark, tmp_path, seed):
     random.shuffle(batches)
     target, staging = str(tmp_path / "t"), str(tmp_path / "s")
     for n, batch in enumerate(batches):
-        upsert(rows_at(spark, batch), n, target, ["k"], staging, buckets=4)
+        merge_batch(rows_at(spark, batch), n, target, ["k"], staging, buckets=4)
     assert values(table(spark, target)) == values(latest(rows_at(spark, rows), ["k"]).select("k", "_ingested_at", "v"))
 
 
 def test_only_touched_buckets_are_replaced(spark, tmp_path):
     target, staging = str(tmp_path / "t"), str(tmp_path / "s")
-    upsert(rows_at(spark, [(k, 0, "old") for k in range(40)]), 0, target, ["k"], staging, buckets=8)
+    merge_batch(rows_at(spark, [(k, 0, "old") for k in range(40)]), 0, target, ["k"], staging, buckets=8)
     before = files_of(target)
     change = rows_at(spark, [(3, 1, "new")])
     touched = change.select(bucket_of(["k"], 8)).first()[0]
-    upsert(change, 1, target, ["k"], staging, buckets=8)
+    merge_batch(change, 1, target, ["k"], staging, buckets=8)
     after = files_of(target)
     assert {b for b in before if before[b] != after[b]} == {f"{BUCKET}={touched}"}
     assert {r["v"] for r in table(spark, target).where("k = 3").collect()} == {"new"}
@@ -83,14 +82,14 @@ def test_only_touched_buckets_are_replaced(spark, tmp_path):
 
 def test_a_batch_run_again_after_a_crash_repairs_the_table(spark, tmp_path):
     target, staging = str(tmp_path / "t"), str(tmp_path / "s")
-    upsert(rows_at(spark, [(k, 0, "old") for k in range(20)]), 0, target, ["k"], staging, buckets=2)
+    merge_batch(rows_at(spark, [(k, 0, "old") for k in range(20)]), 0, target, ["k"], staging, buckets=2)
     batch = rows_at(spark, [(k, 1, "new") for k in range(0, 20, 2)])
-    upsert(batch, 1, target, ["k"], staging, buckets=2)
+    merge_batch(batch, 1, target, ["k"], staging, buckets=2)
     good = values(table(spark, target))
     # The copy broke off between removing a bucket and putting the new one in place.
     lost = next(Path(target).glob(f"{BUCKET}=*"))
     lost.rename(tmp_path / "lost")
-    upsert(batch, 1, target, ["k"], staging, buckets=2)
+    merge_batch(batch, 1, target, ["k"], staging, buckets=2)
     assert values(table(spark, target)) == good
 
 
@@ -112,7 +111,30 @@ def test_a_merge_is_marked_whatever_the_default(spark, tmp_path):
     conf = spark._jsc.hadoopConfiguration()
     conf.set(key, "false")
     try:
-        upsert(rows_at(spark, [(1, 0, "a")]), 0, str(tmp_path / "t"), ["k"], str(tmp_path / "s"), buckets=2)
+        merge_batch(rows_at(spark, [(1, 0, "a")]), 0, str(tmp_path / "t"), ["k"], str(tmp_path / "s"), buckets=2)
     finally:
         conf.unset(key)
     assert (tmp_path / "s/0/_SUCCESS").exists()
+
+
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
+    target, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    upsert(rows_at(spark, [(1, 0, "a")]).where("k = 2"), target, ["k"], staging, buckets=4)
+    assert spark.read.schema(SCHEMA).parquet(target).count() == 0
+    upsert(rows_at(spark, [(1, 0, "a")]), target, ["k"], staging, buckets=4)
+    upsert(rows_at(spark, [(1, 0, "a")]).where("k = 2"), target, ["k"], staging, buckets=4)
+    assert table(spark, target).count() == 1
+
+
+def test_another_number_of_buckets_is_an_error(spark, tmp_path):
+    target, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    upsert(rows_at(spark, [(k, 0, "a") for k in range(50)]), target, ["k"], staging, buckets=16)
+    with pytest.raises(ValueError, match="buckets"):
+        upsert(rows_at(spark, [(1, 1, "b")]), target, ["k"], staging, buckets=8)
+
+
+def test_direct_batches_need_no_id(spark, tmp_path):
+    target, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    for part in range(2):
+        upsert(rows_at(spark, [(k, 0, "a") for k in range(part * 5, part * 5 + 5)]), target, ["k"], staging, buckets=2)
+    assert table(spark, target).count() == 10

@@ -3,6 +3,7 @@ from __future__ import annotations
 import logging
 from datetime import date, datetime, timezone
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -291,7 +292,7 @@ def test_row_counts(built):
 def test_two_builds_agree(spark, built, tmp_path):
     bronze = {n: f"{built.root}/bronze/{n}" for n in RAW}
     again = pipeline.open_bronze(spark, bronze, str(tmp_path / "again"))
-    again.partition_from = 0
+    again.partitioned = True
     again.build_silver()
     again.build_gold()
     for name in SILVER:
@@ -305,7 +306,7 @@ def test_two_builds_agree(spark, built, tmp_path):
 def test_a_year_filter_prunes_the_folders_of_a_partitioned_fact(spark, built, tmp_path):
     bronze = {n: f"{built.root}/bronze/{n}" for n in RAW}
     parted = pipeline.open_bronze(spark, bronze, str(tmp_path / "parted"))
-    parted.partition_from = 0
+    parted.partitioned = True
     for star in (built, parted):
         got = report(star, ["gmv"], where={"year": 2017})
         assert got.first()["gmv"] == Decimal("253.50")
@@ -316,6 +317,38 @@ def test_a_year_filter_prunes_the_folders_of_a_partitioned_fact(spark, built, tm
     assert "PartitionFilters: [isnotnull(purchase_year" in plan_of(timeline.in_month(parted))
 
 
+def test_another_session_opens_the_lake_without_a_write(spark, built):
+    def files():
+        return {(p, p.stat().st_mtime_ns) for p in Path(built.root).rglob("*.parquet")}
+
+    before = files()
+    lake = pipeline.open_lake(spark.newSession(), built.root)
+    assert lake.star("FactOrderItems").count() == built.star("FactOrderItems").count()
+    assert report(lake, ["gmv"]).first() == report(built, ["gmv"]).first()
+    assert files() == before
+    with pytest.raises(FileNotFoundError):
+        pipeline.open_lake(spark, f"{built.root}/bronze")
+
+
+def test_orders_outside_the_calendar_stop_the_run(spark, tmp_path):
+    with pytest.raises(ValueError, match="outside the calendar"):
+        pipeline.run(spark, str(write_csv(tmp_path / "csv")), str(tmp_path / "out"), RUN, calendar=(date(2016, 1, 1), date(2017, 12, 31)))
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    folder = tmp_path / "sellers"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_zip_code_prefix,note,seller_id,seller_state,seller_city\n12345,x,77,SP,campinas\n")
+    row = ingest(spark, str(folder), RAW["sellers"], None, RUN).first()
+    assert (row.seller_id, row.seller_city, row.seller_state) == ("77", "campinas", "SP")
+    (folder / "b.csv").write_text("seller_id,seller_zip_code_prefix,note,seller_state,seller_city\n1,2,x,SP,campinas\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest(spark, str(folder), RAW["sellers"], None, RUN).collect()
+    (tmp_path / "short.csv").write_text("seller_id,seller_state\n1,SP\n")
+    with pytest.raises(ValueError, match="seller_city"):
+        ingest(spark, str(tmp_path / "short.csv"), RAW["sellers"], None, RUN)
+
+
 def test_missing_bronze_stops_the_run(spark, tmp_path):
     src = write_csv(tmp_path / "csv", {"sellers": ROWS["sellers"]})
     with pytest.raises(FileNotFoundError, match="customers"):
