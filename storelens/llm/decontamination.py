@@ -2,8 +2,10 @@
 
 Texts are compared as lower-case words joined by one space. An item of n characters may differ in
 ``floor(error_rate * n)`` characters, its budget. Cut into budget + 1 pieces, at least one piece must occur unchanged in
-any text within the budget: an automaton finds all pieces of all items in one scan of a document, and around each hit
-the distance of the whole item is worked out, one machine word operation per character and 64 item characters.
+any text within the budget: an automaton finds all pieces of all items in one scan of a document. A hit is verified from
+small to large: the pieces are the leaves of a tree whose nodes have one error less than pieces, so that some unchanged
+piece lies under nodes that are all within their budgets. The distance of each node around the hit, and at last of the
+whole item, is worked out bit-parallel; a chance hit fails at the first small node.
 
 Items are sent to the workers in blocks of at most ``BLOCK_CHARS`` characters, each with a pass over the documents, so
 that a larger benchmark needs more passes and not more memory.
@@ -62,6 +64,18 @@ def distances(pattern: dict[str, int], size: int, text: str, anchored: bool) ->
         yield score
 
 
+def within(pattern: dict[str, int], size: int, text: str, budget: int) -> bool:
+    """Does some part of ``text`` come within ``budget``? Ends as soon as the characters left can't decide it otherwise."""
+    left = len(text)
+    for score in distances(pattern, size, text, False):
+        if score <= budget:
+            return True
+        left -= 1
+        if score - left > budget:
+            return False
+    return size <= budget
+
+
 def places(text: str) -> dict[str, int]:
     found: dict[str, int] = {}
     for i, character in enumerate(text):
@@ -89,6 +103,22 @@ def cut(text: str, count: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def branches(leaves: int) -> list[list[tuple[int, int]]]:
+    """For each leaf of a balanced tree, its inner nodes from the lowest to the root, as first leaf and last + 1."""
+    above: list[list[tuple[int, int]]] = [[] for _ in range(leaves)]
+
+    def split(low: int, high: int) -> None:
+        if high - low > 1:
+            middle = (low + high) // 2
+            split(low, middle)
+            split(middle, high)
+            for leaf in range(low, high):
+                above[leaf].append((low, high))
+
+    split(0, leaves)
+    return above
+
+
 @dataclass
 class Block:
     """Some items with their budgets, and the automaton over their pieces; built once per task."""
@@ -97,23 +127,42 @@ class Block:
 
     def searcher(self):
         automaton = ahocorasick.Automaton()
-        pieces: dict[str, list[tuple[int, int]]] = {}
+        pieces: dict[str, list[tuple[int, int, int]]] = {}
+        nodes: list[list[list[tuple[dict[str, int], int, int, int]]]] = []
         for i, (item, budget) in enumerate(self.items):
-            for at, piece in cut(item, budget + 1):
-                pieces.setdefault(piece, []).append((i, at))
+            parts = cut(item, budget + 1)
+            edges = [at for at, _ in parts] + [len(item)]
+            made = {}
+            for leaf, (at, piece) in enumerate(parts):
+                pieces.setdefault(piece, []).append((i, leaf, at))
+            tree = branches(budget + 1)
+            for low, high in {node for above in tree for node in above}:
+                part = item[edges[low] : edges[high]]
+                made[low, high] = (places(part), len(part), edges[low], high - low - 1)
+            nodes.append([[made[node] for node in above] for above in tree])
         for piece, owners in pieces.items():
             automaton.add_word(piece, (len(piece), owners))
         if pieces:
             automaton.make_automaton()
 
+        def verified(text: str, i: int, leaf: int, start: int) -> bool:
+            """Is every node above the leaf within its budget, for an item that starts about there?"""
+            for pattern, size, at, budget in nodes[i][leaf]:
+                left = max(start + at - budget, 0)
+                if not within(pattern, size, text[left : start + at + size + budget], budget):
+                    return False
+            return True
+
         def search(text: str) -> dict[int, tuple[int, int, int]]:
             """Per item within its budget: distance, start and end in ``text``."""
             if not pieces:
                 return {}
             starts: dict[int, set[int]] = {}
             for end, (length, owners) in automaton.iter(text):
-                for i, at in owners:
-                    starts.setdefault(i, set()).add(end + 1 - length - at)
+                for i, leaf, at in owners:
+                    start = end + 1 - length - at
+                    if start not in starts.get(i, ()) and verified(text, i, leaf, start):
+                        starts.setdefault(i, set()).add(start)
             found = {}
             for i, guessed in starts.items():
                 item, budget = self.items[i]
