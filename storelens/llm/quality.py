@@ -33,6 +33,7 @@ GRADES = 3  # 0: toxic, 1: poor, 2: good
 # A hashed feature in a smaller share of the sample has no weight; two documents at least.
 LEAST_SHARE = 0.002
 STEPS = 150
+FIT_BLOCK = 1 << 19  # features of documents that a step of the fit works on at once
 REMEMBERED = 500_000
 BEGINNINGS = (4, 5, 6)
 # Measures of style are that much larger than the count of a word, and so cost less to use under the penalty.
@@ -150,28 +151,36 @@ def rated_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, tex
     return joined.select("grade", "text").mapInArrow(run, "grade int, keys binary, style array<double>").toArrow()
 
 
+def known_features(keys: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The features with a weight, and per document, from ``starts[i]`` on, their places among these and their counts."""
+    documents = np.zeros(DIMENSIONS, np.int64)
+    for own in keys:
+        documents[np.unique(np.frombuffer(own.as_py(), "<u4"))] += 1
+    used = np.flatnonzero(documents >= max(2, LEAST_SHARE * len(keys)))
+    place = np.full(DIMENSIONS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    starts = np.zeros(len(keys) + 1, np.int64)
+    column, value = np.empty(documents[used].sum(), np.int32), np.empty(documents[used].sum(), np.float32)
+    for i, own in enumerate(keys):
+        key, n = np.unique(np.frombuffer(own.as_py(), "<u4"), return_counts=True)
+        known = place[key] >= 0
+        starts[i + 1] = starts[i] + np.count_nonzero(known)
+        column[starts[i] : starts[i + 1]] = place[key[known]]
+        value[starts[i] : starts[i + 1]] = n[known]
+    return used, starts, column, value
+
+
 def fit(sample: pa.Table, steps: int = STEPS, penalty: float = 1e-3, rate: float = 0.1) -> Model:
     """Maximum likelihood by Adam over the whole sample, with an L2 penalty; the same sample gives the same model."""
     thresholds = np.linspace(-1.0, 1.0, GRADES - 1)
     if not sample.num_rows:
         return Model(np.zeros(DIMENSIONS), np.zeros(len(STYLE)), np.full(GRADES - 1, -60.0), fitted=False)
     grade = sample.column("grade").to_numpy()
-    rows, keys, values = [], [], []
-    for i, packed_keys in enumerate(sample.column("keys")):
-        key, n = np.unique(np.frombuffer(packed_keys.as_py(), "<u4"), return_counts=True)
-        rows.append(np.full(len(key), i, np.int32))
-        keys.append(key.astype(np.int32))
-        values.append(n)
-    row, key, value = np.concatenate(rows), np.concatenate(keys), np.concatenate(values).astype(np.float32)
-    known = np.bincount(key, minlength=DIMENSIONS)[key] >= max(2, LEAST_SHARE * len(grade))
-    row, key, value = row[known], key[known], value[known]
     styles = np.array(sample.column("style").to_pylist(), np.float64)
-    order = np.lexsort((np.arange(len(key)), key))
-    by_key, by_row, by_value = key[order], row[order], value[order]
-    used, first = np.unique(by_key, return_index=True)
-    starts = np.searchsorted(row, np.arange(len(grade)))
-    empty = np.diff(np.append(starts, len(row))) == 0
-    compact = np.searchsorted(used, key)
+    used, starts, column, value = known_features(sample.column("keys"))
+    sizes = np.diff(starts)
+    edges = np.unique(np.concatenate([[0], np.searchsorted(starts, np.arange(0, len(column), FIT_BLOCK)), [len(grade)]])).tolist()
+    blocks = [(low, high, slice(starts[low], starts[high])) for low, high in zip(edges, edges[1:], strict=False)]
 
     weights = np.zeros(len(used) + len(STYLE) + GRADES - 1)
     cuts = slice(len(used) + len(STYLE), None)
@@ -180,17 +189,20 @@ def fit(sample: pa.Table, steps: int = STEPS, penalty: float = 1e-3, rate: float
     importance = np.where(grade == 0, 2.0, 1.0) / len(grade)
     for step in range(1, steps + 1):
         w, v, cut = weights[: len(used)], weights[len(used) : len(used) + len(STYLE)], np.sort(weights[cuts])
-        products = np.append(w[compact] * value, 0.0)
-        sums = np.add.reduceat(products, starts) if len(row) else np.zeros(len(grade))
-        score = np.where(empty, 0.0, sums) + styles @ v
-        low = np.concatenate([[-np.inf], cut])[grade]
-        high = np.concatenate([cut, [np.inf]])[grade]
-        above_low = 1 / (1 + np.exp(-np.clip(score - low, -50, 50)))
-        above_high = 1 / (1 + np.exp(-np.clip(score - high, -50, 50)))
+        score = styles @ v
+        for low, high, entries in blocks:
+            sums = np.add.reduceat(np.append(w[column[entries]] * value[entries], 0.0), starts[low:high] - starts[low])
+            score[low:high] += np.where(sizes[low:high] > 0, sums, 0.0)
+        lower = np.concatenate([[-np.inf], cut])[grade]
+        upper = np.concatenate([cut, [np.inf]])[grade]
+        above_low = 1 / (1 + np.exp(-np.clip(score - lower, -50, 50)))
+        above_high = 1 / (1 + np.exp(-np.clip(score - upper, -50, 50)))
         chance = np.maximum(above_low - above_high, 1e-12)
         slope = importance * (1 - above_low - above_high)
         gradient = np.zeros_like(weights)
-        gradient[: len(used)] = np.add.reduceat(slope[by_row] * by_value, first) if len(used) else 0
+        for low, high, entries in blocks:
+            each = np.repeat(slope[low:high], sizes[low:high]) * value[entries]
+            gradient[: len(used)] += np.bincount(column[entries], each, minlength=len(used))
         gradient[len(used) : len(used) + len(STYLE)] = styles.T @ slope
         for k in range(GRADES - 1):
             at_low, at_high = grade == k + 1, grade == k
