@@ -423,6 +423,23 @@ STATEMENTS: dict[str, str] = {
     "dense_key": """SELECT dense_rank() OVER (ORDER BY order_id) AS order_key, order_id, order_item_id FROM b_items""",
     **{f"silver_{n}": f"SELECT * FROM {r}" for n, r in _SILVER.items()},
     "dim_date": "SELECT * FROM d_date",
+    "m_order_status": f"""
+        SELECT order_status, (SELECT {MEASURE["delivered_orders"][1]} FROM items) AS delivered_orders,
+               {_share("(SELECT COUNT(DISTINCT order_id) FILTER (order_status = 'canceled') FROM items)", _ORDERS)}
+                   AS cancellation_rate
+        FROM items GROUP BY order_status""",
+    "m_order_status_year": f"""
+        SELECT i.year, i.order_status, MAX(t.delivered) AS delivered_orders,
+               {_share("MAX(t.canceled)", _ORDERS)} AS cancellation_rate
+        FROM items i JOIN (SELECT year, COUNT(DISTINCT order_id) FILTER (order_status = 'delivered') AS delivered,
+                                  COUNT(DISTINCT order_id) FILTER (order_status = 'canceled') AS canceled
+                           FROM items GROUP BY year) t ON t.year = i.year
+        GROUP BY i.year, i.order_status""",
+    "m_repeat_flag": f"""
+        SELECT is_repeat_customer,
+               {_share("(SELECT COUNT(DISTINCT customer_key) FILTER (is_repeat_customer) FROM items)", "COUNT(DISTINCT customer_key)")}
+                   AS repeat_customer_pct
+        FROM items GROUP BY is_repeat_customer""",
     "dim_customer": "SELECT * FROM d_customer",
     "bridge_customer": "SELECT * FROM d_bridge",
     "dim_product": "SELECT * FROM d_product",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import ratio
-from storelens.plans.measures import MEASURES, Distinct, Ratio, Total
+from storelens.plans.measures import ITEMS, MEASURES, PAYMENTS, REVIEWS, Distinct, Ratio, Total
 
 
 class Star(Protocol):
@@ -67,6 +67,8 @@ FOREIGN_KEY = {
     "DimProduct": "product_key",
     "DimSeller": "seller_key",
 }
+# The measure that counts the rows of each fact.
+ROWS = {ITEMS: "items_sold", PAYMENTS: "payment_rows", REVIEWS: "review_count"}
 DATE_ROLES = {"purchase": "purchase_date_key", "delivered": "delivered_date_key"}
 _DIMENSION = {column: dim for dim, columns in ATTRIBUTES.items() for column in columns}
 
@@ -110,23 +112,40 @@ def report(
 
     ``where`` maps a column to a value or a list of values. A group that only one of the facts has keeps
     its row, with NULL for the measures of the others. A fact row without a dimension row counts under
-    NULL unless the dimension is filtered.
+    NULL unless the dimension is filtered. A measure with a condition of its own on a column does not heed that
+    column, neither in ``where`` nor in ``by``: grouped by it, every group shows the same value.
     """
     by, where = list(by), dict(where or {})
     base = _base_measures(measures)
     groups: dict[tuple[str, frozenset[str]], list[str]] = {}
     for name in base:
         measure = MEASURES[name]
-        ignored = frozenset(measure.ignores.intersection(where))
+        ignored = frozenset(measure.ignores.intersection([*where, *by]))
         groups.setdefault((measure.fact, ignored), []).append(name)
 
     frames = []
     for (fact, ignored), names in groups.items():
         filters = {c: v for c, v in where.items() if c not in ignored}
-        frames.append(_aggregate(star, fact, names, by, filters, date_role))
+        kept = [c for c in by if c not in ignored]
+        frame = _aggregate(star, fact, names, kept, filters, date_role)
+        if len(kept) < len(by):
+            shown = _aggregate(star, fact, [ROWS[fact]], by, where, date_role).drop(ROWS[fact])
+            frame = _spread(shown, frame, kept, names)
+        frames.append(frame)
     return merge(frames, by, base).select(*by, *[_result(name).alias(name) for name in measures])
 
 
+def _spread(groups: DataFrame, totals: DataFrame, kept: list[str], names: list[str]) -> DataFrame:
+    """Totals by the ``kept`` columns beside every group that shares these."""
+    if not kept:
+        return groups.select("*", *[totals.select(n).scalar().alias(n) for n in names])
+    match = F.lit(True)
+    for column in kept:
+        match = match & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    own = totals.select(*[F.col(c).alias(f"_{c}") for c in kept], *names)
+    return groups.join(own, match, "left").drop(*[f"_{c}" for c in kept])
+
+
 def merge(frames: Sequence[DataFrame], by: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Full outer join of aggregated frames, with NULL groups matching: a union grouped again."""
     if len(frames) == 1:

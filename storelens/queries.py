@@ -245,6 +245,11 @@ QUERIES: dict[str, Query] = {
     "gold_row_counts": _star(gold_row_counts),
     # Measures
     **{f"m_{name}": _by_month(name) for name in MONTHLY},
+    "m_order_status": _star(lambda w: report(w, ["delivered_orders", "cancellation_rate"], ["order_status"])),
+    "m_order_status_year": _star(
+        lambda w: report(w, ["delivered_orders", "cancellation_rate"], ["year", "order_status"]),
+    ),
+    "m_repeat_flag": _star(lambda w: report(w, ["repeat_customer_pct"], ["is_repeat_customer"])),
     "m_new_customers": _star(lambda w: timeline.new_customers(w, ["year_month"])),
     "m_gmv_ytd": _star(timeline.gmv_ytd),
     "m_gmv_ly": _star(timeline.gmv_ly),

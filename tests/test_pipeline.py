@@ -386,6 +386,12 @@ def test_a_measure_with_its_own_status_replaces_a_status_filter(built):
     assert (row["order_count"], row["delivered_orders"]) == (1, 3)
 
 
+def test_a_measure_with_its_own_status_shows_the_same_in_every_status(built):
+    rows = by(report(built, ["order_count", "delivered_orders"], ["order_status"]), "order_status")
+    assert len(rows) > 1 and {row["delivered_orders"] for row in rows.values()} == {3}
+    assert rows["shipped"]["order_count"] == 1
+
+
 def test_repeat_share_replaces_a_repeat_filter(built):
     row = report(built, ["active_customers", "repeat_customers"], where={"is_repeat_customer": False}).first()
     assert (row["active_customers"], row["repeat_customers"]) == (3, 1)
