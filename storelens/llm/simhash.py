@@ -37,8 +37,9 @@ from storelens.session import staged
 SEED = 42
 SHINGLE_BLOCK = 1 << 18
 BUCKET_ROWS = 50_000
-# A probe is shuffled and sorted, a candidate compared in memory: so many comparisons cost as much as one probe.
-PROBE_COST = 60
+# A probe is shuffled and sorted, a candidate compared in memory: so many comparisons cost as much as one probe. Measured
+# on 235,720 fingerprints under three plans, from 1.7 M probes and 376 M comparisons to 6.7 M and 25 M: 200 to 400.
+PROBE_COST = 200
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
