@@ -109,12 +109,19 @@ def quoted_from(rows: DataFrame) -> DataFrame:
 
 
 def depths(parents: DataFrame) -> DataFrame:
-    """``message, depth``: steps to the root, by doubling: each round a message's reach is added to that of where it ends."""
+    """``message, depth``: steps to the root, by doubling: each round a message's reach is added to that of where it ends.
+
+    A message that has arrived at its root takes part only as what others end at, so that one long conversation has
+    its rounds to itself.
+    """
     now = staged(parents.select("message", F.col("parent").alias("up"), F.col("parent").isNotNull().cast("long").alias("depth")), "reach")
-    while now.where("up IS NOT NULL").limit(1).count():
-        further = now.select(F.col("message").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        now = staged(now.join(further, "up", "left").select("message", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "reach")
-    return now.select("message", "depth")
+    arrived, under_way = now.where("up IS NULL"), now.where("up IS NOT NULL")
+    while under_way.limit(1).count():
+        reach = arrived.unionByName(under_way)
+        further = reach.select(F.col("message").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
+        now = staged(under_way.join(further, "up").select("message", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth")), "reach")
+        arrived, under_way = arrived.unionByName(now.where("up IS NULL")), now.where("up IS NOT NULL")
+    return arrived.select("message", "depth")
 
 
 def numbered(rows: DataFrame, order: list[str]) -> DataFrame:

@@ -450,6 +450,20 @@ def test_reply_order(spark):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_depths(spark):
+    """Chains of 1, 2, 3 and 70 messages and a star, whose lengths end in different rounds."""
+    parent, first = {}, 0
+    for length in (1, 2, 3, 70):
+        parent |= {first + i: first + i - 1 if i else None for i in range(length)}
+        first += length
+    parent |= {first: None} | {first + i: first for i in range(1, 9)}
+    expected = {}
+    for message, above in parent.items():
+        expected[message] = 0 if above is None else expected[above] + 1
+    rows = conversations.depths(spark.createDataFrame(list(parent.items()), "message long, parent long")).collect()
+    assert len(rows) == len(parent) and {r.message: r.depth for r in rows} == expected
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
