@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from storelens.llm.common import packed, text_of
 from storelens.llm.components import components
+from storelens.llm.jaccard import near_components
 from storelens.session import staged
 
 SEED = 42
@@ -346,14 +347,13 @@ def simhash_components(
     return prints.join(component_labels(prints, max_distance, bucket_rows), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, distinct: bool = True, max_distance: int = 6) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, one per component, with all their columns: the one with the lowest id.
 
-    The defaults are set for near copies in the sense of a five-word shingle similarity of 0.8 or more. Fingerprints
-    of the five-word shingles themselves would put such texts about ten bits apart, too far for an index on 64 bits;
-    those of the set of word pairs stay within six bits.
+    Near copies are texts with a five-word shingle similarity of 0.8 or more. Fingerprints can't tell them: such texts
+    are up to ten bits apart, and others that are less similar are as near.
     """
-    rows = simhash_components(docs, id_col, text_col, shingle, distinct, max_distance)
+    rows = near_components(docs, id_col, text_col)
     first = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
     kept = staged(rows.withColumn("place", F.row_number().over(first)).where("place = 1").select("doc_id", "text_hash"), "near-kept")
     keyed = packed(docs).select(

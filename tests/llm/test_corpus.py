@@ -219,6 +219,29 @@ def test_one_row_per_near_copy_stays(spark):
     assert sorted(r[0] for r in collected(got)) == [0, *range(100, 108)]
 
 
+def five_word_sets(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def test_near_copies_are_those_of_five_word_similarity(spark):
+    rng = random.Random(11)
+    texts = ["", "one two three", "One  two three", "one two four"]
+    for size in (12, 30, 50, 60, 90, 200):
+        for _ in range(4):
+            base = [f"w{rng.randint(0, 300)}" for _ in range(size)]
+            for edits in (0, 1, 1, 2, 3, 5, 8):
+                edited = list(base)
+                for _ in range(edits):
+                    edited[rng.randrange(size)] = f"x{rng.randint(0, 9999)}"
+                texts.append(" ".join(edited) + rng.choice(["", "", " a line that many of the texts end with"]))
+    sets = [five_word_sets(t) for t in texts]
+    similar = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    root = reachable(range(len(texts)), similar)
+    want = {min(i for i in root if root[i] == r) for r in set(root.values())}
+    assert {r[0] for r in collected(simhash.drop_near_duplicates(documents(spark, list(enumerate(texts)))))} == want
+
+
 def test_chain_of_links_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "u long, v long")
     got = {r.node: r.root for r in components(edges).collect()}
