@@ -337,6 +337,18 @@ def test_base_counts_and_scores(spark):
     assert sum(r[6] for r in got) > sum(r[5] for r in got)
 
 
+def test_long_unseen_words_cost_their_length(spark):
+    out = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    rng = random.Random(4)
+    junk = "".join(rng.choice("abcdefghijklmnop") for _ in range(40_000))
+    rows = [*ROWS, (out[0], junk[:20_000]), (out[1], junk), (out[2], f"{junk} {junk}")]
+    got = {r.doc_id: r for r in language_model.scored(documents(spark, rows)).collect() if r.doc_id in out}
+    short, long, twice = (got[i] for i in out)
+    assert all(r.held_out for r in got.values())
+    assert short.bits_per_byte > 1 and long.bits_per_byte > 1
+    assert long.score < 1.5 * short.score and 1.01 * long.score < twice.score < long.score
+
+
 def test_spelling_is_a_distribution():
     model = language_model.Spelling()
     words = [b"\x00" + bytes([a, b]) for a in b"abc" for b in b"abc"] * 3
