@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from storelens.llm import conversations, decontamination, exact_dedup, extraction, language_model, packing, quality, sharding, simhash, substrings
 from storelens.llm.common import table
-from storelens.session import application_dir
+from storelens.session import application_dir, staged
 
 QUERIES = {}
 STATEMENTS = {}
@@ -48,18 +48,22 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 @query
 def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Law `bytes`: eight shards of nearly equal size through the first version of a stored map."""
+    """Law `bytes`: eight shards of nearly equal size through a stored map, and the shard under its next version for nine."""
     rows = sharding.records(table(spark, sf_dir, "documents"))
     folder = f"{application_dir(spark)}/slot-maps/{sharding.folder_name(sf_dir)}"
-    version = sharding.store_map(sharding.edited_map(sharding.slot_bytes(rows), 8), folder)
-    return sharding.placed(rows, sharding.load_map(spark, folder, version)).select(
+    sizes = staged(sharding.slot_bytes(rows), "slot-bytes")
+    version = sharding.store_map(sharding.edited_map(sizes, 8), folder)
+    first = sharding.load_map(spark, folder, version)
+    grown = sharding.load_map(spark, folder, sharding.store_map(sharding.edited_map(sizes, 9, before=first), folder))
+    next_shard = F.broadcast(grown.select("virtual_slot", F.col("shard").alias("grown_shard")))
+    return sharding.placed(rows, first).join(next_shard, "virtual_slot").select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
         "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
+        "grown_shard",
         "virtual_slot",
     )
 

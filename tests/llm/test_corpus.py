@@ -126,6 +126,19 @@ def test_map_versions_and_growth(spark, tmp_path):
     assert moved <= 256 * 0.35  # a fifth has to move
 
 
+def test_rows_have_their_shard_after_growth(spark):
+    from storelens.llm.queries import op10_virtual_slots
+
+    got = op10_virtual_slots(spark, "/root/testdata/sf0.001").select("shard", "grown_shard", "size").collect()
+    assert len(got) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    loads = Counter()
+    for r in got:
+        loads[r.grown_shard] += r.size
+    assert set(loads) == set(range(9)) and {r.shard for r in got} == set(range(8))
+    moved = [r for r in got if r.grown_shard != r.shard]
+    assert moved and len(moved) < 0.5 * len(got)
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     assert collected(exact_dedup.exact_groups(docs)) == []
