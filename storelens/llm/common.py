@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.session import application_dir, staging_area
+
 SEPARATORS = " \t\n\x0b\x0c\r"
 
 
@@ -27,7 +31,7 @@ def packed(df: DataFrame) -> DataFrame:
 
 def batches_of(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with at most ``most_bytes`` of text each; a longer text is a slice by itself."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and total + size > most_bytes:
@@ -36,3 +40,12 @@ def batches_of(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[
         total += size
     if start < len(sizes):
         yield batch.slice(start)
+
+
+def finished(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written to the shared folder; all that it staged on the way is gone afterwards."""
+    path = f"{application_dir(spark)}/results/{label}-{uuid.uuid4().hex}"
+    with staging_area(spark):
+        result = make()
+        result.write.parquet(path)
+    return spark.read.schema(result.schema).parquet(path)
