@@ -413,6 +413,131 @@ _PARETO = f"""
            CAST(row_number() OVER (ORDER BY a.gmv DESC, a.category_en) AS INTEGER) AS category_rank
     FROM category_gmv a"""
 
+
+def _cells(groups: str, where: str = "TRUE") -> str:
+    """First and last day of each group of calendar days."""
+    return f"SELECT {groups}, MIN(date) AS a, MAX(date) AS b FROM d_date WHERE {where} GROUP BY {groups}"
+
+
+def _new(group: str, cells: str, condition: str = "TRUE") -> str:
+    """Buyers among the items that meet ``condition`` in a span, with their first purchase ever in it."""
+    return f"""
+        SELECT {group}, COUNT(DISTINCT i.customer_key) AS new_customers
+        FROM ({cells}) c JOIN items i ON i.date BETWEEN c.a AND c.b AND {condition}
+        JOIN firsts f ON f.customer_key = i.customer_key
+             AND f.first_key BETWEEN CAST(strftime(c.a, '%Y%m%d') AS INTEGER) AND CAST(strftime(c.b, '%Y%m%d') AS INTEGER)
+        GROUP BY {group}"""
+
+
+def _rolling(group: str, cells: str, condition: str = "TRUE", name: str = "gmv_rolling_30d") -> str:
+    since = "c.b - INTERVAL 29 DAY" if name == "gmv_rolling_30d" else "date_trunc('year', c.b)"
+    return f"""
+        SELECT {group}, {_money("total_value")} AS {name}
+        FROM ({cells}) c JOIN items i ON i.date <= c.b AND i.date >= {since} AND {condition} GROUP BY {group}"""
+
+
+def _moved(months: int, days: str, keys: str) -> str:
+    """The days of each group of ``days`` moved back as a set, to the month's end where the last two days are among them."""
+    return f"""
+        SELECT {keys}, CAST(date - INTERVAL {months} MONTH AS DATE) AS date FROM ({days}) AS own
+        UNION
+        SELECT {keys}, CAST(d AS DATE) AS date
+        FROM (SELECT {keys}, unnest(generate_series(CAST(last AS TIMESTAMP), last_day(last), INTERVAL 1 DAY)) AS d
+              FROM (SELECT {keys}, CAST(last_day(date) - INTERVAL {months} MONTH AS DATE) AS last FROM ({days}) AS own
+                    WHERE date >= last_day(date) - 1 GROUP BY {keys}, last_day(date) HAVING COUNT(*) = 2) AS ends) AS listed"""
+
+
+def _visual(page: str, visual: str, label: str, measures: list[str], rows: str) -> str:
+    return _UNION.join(
+        f"""SELECT '{page}' AS page, '{visual}' AS visual, CAST({label} AS VARCHAR) AS label, '{m}' AS measure,
+            CAST({m} AS DOUBLE) AS value FROM ({rows}) AS visual_rows"""
+        for m in measures
+    )
+
+
+def _executive_page() -> str:
+    chosen = f"year = {YEAR} AND region = '{REGION}'"
+    before = f"(SELECT SUM(total_value) FROM items WHERE year = {YEAR - 1} AND region = '{REGION}')"
+    headline = f"""
+        SELECT {_money("total_value")} AS gmv, {_ORDERS} AS order_count, {_share("SUM(total_value)", _ORDERS)} AS average_order_value,
+               {_share(f"SUM(total_value) - {before}", before)} AS gmv_yoy_pct, COUNT(DISTINCT customer_key) AS active_customers
+        FROM items WHERE {chosen}"""
+    by_month = f"""
+        SELECT m.year_month, n.gmv, l.gmv AS gmv_ly
+        FROM month_list m
+        LEFT JOIN ({_select(["gmv"], "year_month", f"region = '{REGION}'")}) n ON n.year_month = m.year_month
+        LEFT JOIN ({_select(["gmv"], "year_month", f"region = '{REGION}'")}) l
+               ON l.year_month = strftime(m.first_day - INTERVAL 1 YEAR, '%Y-%m')
+        WHERE m.year = {YEAR} AND (n.gmv IS NOT NULL OR l.gmv IS NOT NULL)"""
+    categories = _select(["gmv"], "category_en", chosen)
+    pareto = f"""
+        SELECT category_en, gmv, {_share("SUM(gmv) OVER (ORDER BY gmv DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+                                         "SUM(gmv) OVER ()")} AS cumulative_gmv_pct FROM ({categories}) AS c"""
+    page = lambda *rest: _visual("executive", *rest)
+    return _UNION.join(
+        [
+            page("headline", "''", ["gmv", "order_count", "average_order_value", "gmv_yoy_pct", "active_customers"], headline),
+            page("gmv by month", "year_month", ["gmv", "gmv_ly"], by_month),
+            page("top categories", "category_en", ["gmv"], f"{categories} ORDER BY gmv DESC, category_en LIMIT 10"),
+            page("pareto", "category_en", ["gmv", "cumulative_gmv_pct"], pareto),
+            page("gmv by state", "customer_state", ["gmv"], _select(["gmv"], "customer_state", chosen)),
+        ]
+    )
+
+
+def _drill_through() -> str:
+    here = f"customer_state = '{STATE}'"
+    names = ["on_time_delivery_pct", "avg_delivery_days", "cancellation_rate", "delivered_orders"]
+    histogram = f"""
+        SELECT CASE WHEN delivery_days >= 30 THEN '30+' WHEN delivery_days >= 15 THEN '15-30'
+                    WHEN delivery_days >= 10 THEN '10-15' WHEN delivery_days >= 5 THEN '5-10'
+                    WHEN delivery_days >= 0 THEN '0-5' ELSE '<0' END AS delivery_bin, COUNT(*) AS item_rows
+        FROM items WHERE delivery_days IS NOT NULL AND {here} GROUP BY 1"""
+    trend = f"""
+        SELECT year_month, {MEASURE["avg_delivery_days"][1]} AS avg_delivery_days
+        FROM items, last_buy WHERE year_month > strftime(as_of - INTERVAL 12 MONTH, '%Y-%m') AND {here} GROUP BY year_month"""
+    sellers = f"""
+        SELECT seller_id, seller_state, COUNT(*) AS item_rows, {_ORDERS} AS order_count,
+               {_share("SUM(delivery_days)", "COUNT(*)")} AS avg_delivery_days,
+               {_share("SUM(on_time_flag)", "COUNT(*)")} AS on_time_delivery_pct
+        FROM items WHERE delivery_days IS NOT NULL AND {here} GROUP BY seller_id, seller_state HAVING COUNT(*) >= 10
+        ORDER BY avg_delivery_days DESC, seller_id LIMIT 10"""
+    people = f"""
+        SELECT COUNT(DISTINCT customer_key) AS active_customers, {MEASURE["repeat_customer_pct"][1]} AS repeat_customer_pct,
+               (SELECT {MEASURE["avg_review_score"][1]} FROM reviews WHERE {here}) AS avg_review_score,
+               COUNT(DISTINCT customer_key) AS new_customers
+        FROM items WHERE {here}"""
+    fresh = f"""
+        SELECT i.year_month,
+               COUNT(DISTINCT i.customer_key) FILTER (i.purchase_date_key // 100 = f.first_key // 100) AS new_customers,
+               COUNT(DISTINCT i.customer_key) FILTER (i.purchase_date_key // 100 > f.first_key // 100) AS returning_customers
+        FROM items i JOIN firsts f USING (customer_key) WHERE {here} GROUP BY i.year_month"""
+    scores = f"""
+        SELECT review_score, COUNT(*) AS reviews, {_share("COUNT(*)", f"(SELECT COUNT(*) FROM reviews WHERE {here})")} AS share
+        FROM reviews WHERE {here} GROUP BY review_score"""
+    rated = f"""
+        SELECT category_en, {_share("SUM(r.review_score)", "COUNT(r.review_score)")} AS avg_review_score,
+               COUNT(DISTINCT (order_id, order_item_id)) AS items_sold
+        FROM items i LEFT JOIN f_reviews r USING (order_id) WHERE {here} GROUP BY category_en HAVING COUNT(r.review_score) > 0
+        ORDER BY avg_review_score DESC, category_en LIMIT 10"""
+    first = lambda *rest: _visual("operations", *rest)
+    second = lambda *rest: _visual("customer", *rest)
+    return _UNION.join(
+        [
+            first("headline", "''", names, _select(names, where=here)),
+            first("delivery days", "delivery_bin", ["item_rows"], histogram),
+            first("on time by state", "customer_state", ["on_time_delivery_pct"], _select(["on_time_delivery_pct"], "customer_state", here)),
+            first("trend", "year_month", ["avg_delivery_days"], trend),
+            first("slowest sellers", "seller_state", ["seller_id", "item_rows", "order_count", "avg_delivery_days", "on_time_delivery_pct"], sellers),
+            second("headline", "''", ["active_customers", "repeat_customer_pct", "avg_review_score", "new_customers"], people),
+            second("new and returning", "year_month", ["new_customers", "returning_customers"], fresh),
+            second("customers by state", "customer_state", ["customers"], f"SELECT customer_state, COUNT(*) AS customers FROM d_customer WHERE {here} GROUP BY customer_state"),
+            second("review scores", "COALESCE(CAST(review_score AS VARCHAR), '-')", ["reviews", "share"], scores),
+            second("categories by review", "category_en", ["avg_review_score", "items_sold"], rated),
+        ]
+    )
+
+
 STATEMENTS: dict[str, str] = {
     "bronze_audit": _UNION.join(
         f"""SELECT '{n}' AS "table", '{t}.parquet' AS source_file, COUNT(*) AS "rows", COUNT(*) AS rows_stamped
@@ -460,6 +585,63 @@ STATEMENTS: dict[str, str] = {
     "m_new_customers": """
         SELECT year_month, COUNT(*) AS new_customers FROM firsts JOIN d_date ON date_key = first_key
         GROUP BY year_month""",
+    "m_new_customers_region": f"""
+        SELECT region, year_month, new_customers, active_customers
+        FROM ({_select(["active_customers"], "region, year_month")}) AS active
+        LEFT JOIN ({_new("region, c.year_month", _cells("year_month"))}) AS fresh USING (region, year_month)""",
+    "m_new_customers_category": _new("category_en, c.year", _cells("year")),
+    "m_new_customers_weekend": _new("c.year", _cells("year", "is_weekend")),
+    "m_new_customers_weekend_state": _new("c.year", _cells("year", "is_weekend"), f"customer_state = '{STATE}'"),
+    "m_gmv_ytd_region": f"""
+        SELECT region, year_month, gmv, gmv_ytd
+        FROM ({_rolling("region, c.year_month", _cells("year_month"), name="gmv_ytd")}) AS running
+        FULL JOIN ({_select(["gmv"], "region, year_month")}) AS own USING (region, year_month)""",
+    "m_gmv_rolling_30d_category": _rolling("category_en, c.year_month", _cells("year_month")),
+    "m_gmv_rolling_30d_daily": f"""
+        SELECT customer_state, date, gmv_rolling_30d, gmv_ytd
+        FROM ({_rolling("customer_state, c.date", _cells("date", f"year = {YEAR}"), f"region = '{REGION}'")}) AS rolling
+        FULL JOIN ({_rolling("customer_state, c.date", _cells("date", f"year = {YEAR}"), f"region = '{REGION}'", "gmv_ytd")}) AS running
+        USING (customer_state, date)""",
+    "m_gmv_yoy_state": f"""
+        SELECT customer_state, year, n.gmv, l.gmv AS gmv_ly, {_share("n.gmv - l.gmv", "l.gmv")} AS gmv_yoy_pct
+        FROM ({_select(["gmv"], "customer_state, year")}) n
+        FULL JOIN (SELECT customer_state, year + 1 AS year, gmv FROM ({_select(["gmv"], "customer_state, year")}) AS yearly
+                   WHERE year + 1 <= (SELECT MAX(year) FROM d_date)) l USING (customer_state, year)""",
+    "m_gmv_mom_category": f"""
+        SELECT category_en, year_month, {_share("n.gmv - l.gmv", "l.gmv")} AS gmv_mom_pct
+        FROM ({_select(["gmv"], "category_en, year_month")}) n
+        FULL JOIN (SELECT category_en, m.year_month, gmv FROM ({_select(["gmv"], "category_en, year_month")}) AS monthly
+                   JOIN month_list m ON strftime(m.first_day - INTERVAL 1 MONTH, '%Y-%m') = monthly.year_month) l
+        USING (category_en, year_month)""",
+    "m_gmv_ly_month_name": f"""
+        SELECT year, n.gmv, l.gmv AS gmv_ly
+        FROM ({_select(["gmv"], "year", f"month_name = '{MONTH_NAME}'")}) n
+        FULL JOIN (SELECT d.year, {_money("total_value")} AS gmv
+                   FROM ({_moved(12, f"SELECT year, date FROM d_date WHERE month_name = '{MONTH_NAME}'", "year")}) d
+                   JOIN items i ON i.date = d.date GROUP BY d.year) l USING (year)""",
+    "m_gmv_ly_daily": f"""
+        SELECT date, n.gmv, l.gmv_ly, p.gmv_pm
+        FROM (SELECT date, {_money("total_value")} AS gmv FROM items WHERE category_en = '{CATEGORY}' GROUP BY date) n
+        FULL JOIN (SELECT own AS date, {_money("total_value")} AS gmv_ly
+                   FROM ({_moved(12, "SELECT date AS own, date FROM d_date", "own")}) d
+                   JOIN items i ON i.date = d.date WHERE category_en = '{CATEGORY}' GROUP BY own) l USING (date)
+        FULL JOIN (SELECT own AS date, {_money("total_value")} AS gmv_pm
+                   FROM ({_moved(1, "SELECT date AS own, date FROM d_date", "own")}) d
+                   JOIN items i ON i.date = d.date WHERE category_en = '{CATEGORY}' GROUP BY own) p USING (date)""",
+    "m_category_mix_region": f"""
+        SELECT region, category_en, {_share("gmv", "SUM(gmv) OVER (PARTITION BY region)")} AS category_pct_of_total,
+               {_share("SUM(gmv) OVER (PARTITION BY region ORDER BY gmv DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+                       "SUM(gmv) OVER (PARTITION BY region)")} AS cumulative_gmv_pct
+        FROM ({_select(["gmv"], "region, category_en", f"year = {YEAR}")}) AS c""",
+    "m_one_category_share": f"""
+        SELECT year, gmv, category_pct_of_total, cumulative_gmv_pct
+        FROM (SELECT year, category_en, gmv, {_share("gmv", "SUM(gmv) OVER (PARTITION BY year)")} AS category_pct_of_total,
+                     {_share("SUM(gmv) OVER (PARTITION BY year ORDER BY gmv DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+                             "SUM(gmv) OVER (PARTITION BY year)")} AS cumulative_gmv_pct
+              FROM ({_select(["gmv"], "year, category_en")}) AS c) AS shares
+        WHERE category_en = '{CATEGORY}'""",
+    "v_executive_page": _executive_page(),
+    "v_drill_through": _drill_through(),
     "m_gmv_ytd": """
         SELECT m.year_month, CAST(COALESCE(SUM(i.total_value), 0) AS DECIMAL(28,2)) AS gmv_ytd
         FROM month_list m LEFT JOIN items i ON i.year = m.year AND i.date <= m.last_day

@@ -43,6 +43,48 @@ class Ratio:
     denominator: str
 
 
+@dataclass(frozen=True)
+class Running:
+    """A total up to the last day of the context: since the year began, or over the last ``days`` days."""
+
+    of: str
+    over: str
+    days: int = 0
+
+
+@dataclass(frozen=True)
+class Shifted:
+    """A total over the days of the context moved back by ``months``."""
+
+    of: str
+    months: int
+
+
+@dataclass(frozen=True)
+class Change:
+    """By how much a measure differs from an earlier one, over the earlier one."""
+
+    now: str
+    before: str
+
+
+@dataclass(frozen=True)
+class NewCustomers:
+    """Customers whose first purchase ever lies within the days of the context."""
+
+
+@dataclass(frozen=True)
+class Share:
+    """A measure over its value for all of ``column``; ``running`` adds up all values at least as large."""
+
+    of: str
+    column: str
+    running: bool = False
+
+
+Measure = Total | Distinct | Ratio | Running | Shifted | Change | NewCustomers | Share
+
+
 def _sum(fact: str, column: str, result: str) -> Total:
     return Total(fact, lambda: F.col(column), result)
 
@@ -71,7 +113,7 @@ def _delivered() -> Column:
     return F.col("delivery_days").isNotNull()
 
 
-MEASURES: dict[str, Total | Distinct | Ratio] = {
+MEASURES: dict[str, Measure] = {
     # Sales
     "total_sales": _money(ITEMS, "price"),
     "total_freight": _money(ITEMS, "freight_value"),
@@ -119,4 +161,15 @@ MEASURES: dict[str, Total | Distinct | Ratio] = {
     "payment_rows": _count(PAYMENTS),
     "paid_orders": Distinct(PAYMENTS, "order_id"),
     "average_basket": Ratio("total_payments", "paid_orders"),
+    # Time
+    "new_customers": NewCustomers(),
+    "gmv_ytd": Running("gmv", "year"),
+    "gmv_rolling_30d": Running("gmv", "days", 30),
+    "gmv_ly": Shifted("gmv", 12),
+    "gmv_pm": Shifted("gmv", 1),
+    "gmv_yoy_pct": Change("gmv", "gmv_ly"),
+    "gmv_mom_pct": Change("gmv", "gmv_pm"),
+    # Mix
+    "category_pct_of_total": Share("gmv", "category_en"),
+    "cumulative_gmv_pct": Share("gmv", "category_en", running=True),
 }

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import ratio
-from storelens.plans.measures import ITEMS, MEASURES, PAYMENTS, REVIEWS, Distinct, Ratio, Total
+from storelens.plans.measures import ITEMS, MEASURES, PAYMENTS, REVIEWS, Change, Distinct, Ratio, Total
 
 
 class Star(Protocol):
@@ -118,7 +118,10 @@ def report(
     by, where = list(by), dict(where or {})
     base = _base_measures(measures)
     groups: dict[tuple[str, frozenset[str]], list[str]] = {}
+    beyond = [n for n in base if not isinstance(MEASURES[n], Total | Distinct)]
     for name in base:
+        if name in beyond:
+            continue
         measure = MEASURES[name]
         ignored = frozenset(measure.ignores.intersection([*where, *by]))
         groups.setdefault((measure.fact, ignored), []).append(name)
@@ -127,11 +130,16 @@ def report(
     for (fact, ignored), names in groups.items():
         filters = {c: v for c, v in where.items() if c not in ignored}
         kept = [c for c in by if c not in ignored]
-        frame = _aggregate(star, fact, names, kept, filters, date_role)
+        frame = aggregate(star, fact, names, kept, filters, date_role)
         if len(kept) < len(by):
-            shown = _aggregate(star, fact, [ROWS[fact]], by, where, date_role).drop(ROWS[fact])
+            shown = aggregate(star, fact, [ROWS[fact]], by, where, date_role).drop(ROWS[fact])
             frame = _spread(shown, frame, kept, names)
         frames.append(frame)
+    if beyond:
+        from storelens.plans import contexts  # builds on this module
+
+        context = contexts.Context(star, by, where, date_role)
+        frames += [contexts.FRAMES[type(MEASURES[name])](context, name) for name in beyond]
     return merge(frames, by, base).select(*by, *[_result(name).alias(name) for name in measures])
 
 
@@ -159,46 +167,37 @@ def merge(frames: Sequence[DataFrame], by: Sequence[str], values: Sequence[str])
 def _base_measures(measures: Sequence[str]) -> list[str]:
     base: dict[str, None] = {}
     for name in measures:
-        measure = MEASURES[name]
-        for part in (measure.numerator, measure.denominator) if isinstance(measure, Ratio) else (name,):
+        for part in _parts(name):
             base[part] = None
     return list(base)
 
 
+def _parts(name: str) -> tuple[str, ...]:
+    match MEASURES[name]:
+        case Ratio(numerator, denominator):
+            return numerator, denominator
+        case Change(now, before):
+            return now, before
+    return (name,)
+
+
 def _result(name: str) -> Column:
-    measure = MEASURES[name]
-    return ratio(measure.numerator, measure.denominator) if isinstance(measure, Ratio) else F.col(name)
+    match MEASURES[name]:
+        case Ratio(numerator, denominator):
+            return ratio(numerator, denominator)
+        case Change(now, before):
+            return ratio(F.col(now) - F.col(before), F.col(before))
+    return F.col(name)
 
 
-def _aggregate(
+def aggregate(
     star: Star, fact: str, names: list[str], by: list[str], where: dict[str, Any], role: str
 ) -> DataFrame:
     """The measures of one fact under one set of filters."""
-    rows = star.gold(fact)
-    own = {c for c in rows.columns if c not in ("purchase_year", "purchase_month")}
     totals = {n: m for n in names if isinstance(m := MEASURES[n], Total)}
     distincts = {n: m for n in names if isinstance(m := MEASURES[n], Distinct)}
-
-    wanted: dict[str, list[str]] = {}
     needs = [c for m in distincts.values() for c in sorted(m.needs)]
-    for column in dict.fromkeys([*by, *where, *needs]):
-        if column not in own:
-            wanted.setdefault(_path(fact, column, own), []).append(column)
-
-    for column in where.keys() & own:
-        rows = rows.where(condition(column, where[column]))
-    if "DimDate" in wanted:
-        rows = _dated(star, rows, fact, own, wanted.pop("DimDate"), where, role)
-
-    foreign = sorted({FOREIGN_KEY[d] for d in wanted})
-
-    def joined(frame: DataFrame) -> DataFrame:
-        for key in foreign:
-            columns = {d: c for d, c in wanted.items() if FOREIGN_KEY[d] == key}
-            filtered = any(c in where for names in columns.values() for c in names)
-            dimension = _dimension(star, key, columns, where)
-            frame = frame.join(dimension, key, "inner" if filtered else "left")
-        return frame
+    rows, foreign, joined = _reached(star, fact, [*by, *where, *needs], where, role)
 
     # An order and a customer each have one customer key. With no other dimension a frame at the grain of
     # the counted id carries the totals along; otherwise the totals are taken on their own.
@@ -218,6 +217,53 @@ def _aggregate(
     return merge(frames, by, names)
 
 
+def _reached(
+    star: Star, fact: str, columns: Sequence[str], where: Mapping[str, Any], role: str
+) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+    """The rows of a fact with its own and the calendar's filters applied, the keys into the other dimensions that
+    ``columns`` need, and the join to these dimensions, filters applied.
+    """
+    rows = star.gold(fact)
+    own = {c for c in rows.columns if c not in ("purchase_year", "purchase_month")}
+    wanted: dict[str, list[str]] = {}
+    for column in dict.fromkeys(columns):
+        if column not in own:
+            wanted.setdefault(_path(fact, column, own), []).append(column)
+    for column in where.keys() & own:
+        rows = rows.where(condition(column, where[column]))
+    if "DimDate" in wanted:
+        rows = _dated(star, rows, fact, own, wanted.pop("DimDate"), where, role)
+
+    def joined(frame: DataFrame) -> DataFrame:
+        for key in foreign:
+            dimensions = {d: c for d, c in wanted.items() if FOREIGN_KEY[d] == key}
+            filtered = any(c in where for names in dimensions.values() for c in names)
+            dimension = _dimension(star, key, dimensions, where)
+            frame = frame.join(dimension, key, "inner" if filtered else "left")
+        return frame
+
+    foreign = sorted({FOREIGN_KEY[d] for d in wanted})
+    return rows, foreign, joined
+
+
+def filtered(star: Star, fact: str, where: Mapping[str, Any] | None) -> DataFrame:
+    """The rows of a fact that meet the filters of a report; without filters the fact as it is."""
+    where = dict(where or {})
+    rows, _, joined = _reached(star, fact, list(where), where, "purchase")
+    kept = rows.columns
+    # A filter on a dimension keeps or drops a row and never repeats it: keys are unique there.
+    return joined(rows).select(*[c for c in star.gold(fact).columns if c in kept])
+
+
+def first_dates(star: Star, by: Sequence[str], where: Mapping[str, Any]) -> DataFrame:
+    """``customer_key``, ``by`` and ``_bought``, the first date key on which each customer bought within ``by`` and ``where``."""
+    rows, foreign, joined = _reached(star, ITEMS, [*by, *where], where, "purchase")
+    rows = rows.where(F.col("customer_key").isNotNull() & F.col("purchase_date_key").isNotNull())
+    grain = dict.fromkeys(["customer_key", *foreign, *[c for c in by if c in rows.columns]])
+    early = rows.groupBy(*grain).agg(F.min("purchase_date_key").alias("_bought"))
+    return joined(early).groupBy(*dict.fromkeys(["customer_key", *by])).agg(F.min("_bought").alias("_bought"))
+
+
 def _totals(
     rows: DataFrame,
     joined: Callable[[DataFrame], DataFrame],
@@ -287,6 +333,19 @@ def _path(fact: str, column: str, own: set[str]) -> str:
     return dimension
 
 
+def dimension_rows(star: Star, key: str, where: dict[str, Any]) -> DataFrame:
+    """A dimension with every column of its own that a report can filter by, filters applied."""
+    name = next(d for d in FOREIGN_KEY if FOREIGN_KEY[d] == key)
+    wanted: dict[str, list[str]] = {name: list(ATTRIBUTES[name])}
+    for column in where:
+        dimension = _DIMENSION.get(column)
+        if FOREIGN_KEY.get(dimension) != key:
+            raise ValueError(f"{column} does not filter {name}")
+        if dimension != name:
+            wanted.setdefault(dimension, []).append(column)
+    return _dimension(star, key, wanted, where)
+
+
 def _dimension(star: Star, key: str, wanted: dict[str, list[str]], where: dict[str, Any]) -> DataFrame:
     """The wanted columns of one dimension, regions joined to customers, filters applied."""
     name = next(d for d in FOREIGN_KEY if FOREIGN_KEY[d] == key)

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import bucketize, ratio, total_money
 from storelens.operators import month_index, share_of_total, top_n
 from storelens.plans import timeline
 from storelens.plans.measures import ITEMS, REVIEWS
-from storelens.plans.metrics import Star, condition, merge, report
+from storelens.plans.metrics import Star, condition, dimension_rows, filtered, merge, report
 from storelens.schemas import DELIVERY_BINS
 from storelens.session import staged
 
@@ -63,10 +63,10 @@ def operations_kpis(star: Star, where: Where = None) -> DataFrame:
     return report(star, names, where=where)
 
 
-def delivery_histogram(star: Star) -> DataFrame:
+def delivery_histogram(star: Star, where: Where = None) -> DataFrame:
     """Delivered item rows per class of delivery days; a bin takes its lower edge, not its upper."""
     return (
-        star.gold(ITEMS)
+        filtered(star, ITEMS, where)
         .where(F.col("delivery_days").isNotNull())
         .groupBy(bucketize("delivery_days", DELIVERY_BINS).alias("delivery_bin"))
         .agg(F.count("*").alias("item_rows"))
@@ -77,26 +77,27 @@ def on_time_by(star: Star, column: str, where: Where = None) -> DataFrame:
     return report(star, ["on_time_delivery_pct"], [column], where)
 
 
-def delivery_trend(star: Star, months: int = 12) -> DataFrame:
-    """Average delivery days of the last months on record."""
-    day = timeline.as_of(star)
-    first = month_index(F.year(day), F.month(day)) - months + 1
+def delivery_trend(star: Star, months: int = 12, where: Where = None, day: Column | None = None) -> DataFrame:
+    """Average delivery days of the last months up to ``day``, by default the last purchase on record."""
+    day = timeline.as_of(star) if day is None else day
+    last = month_index(F.year(day), F.month(day))
+    month = month_index("purchase_year", "purchase_month")
     rows = (
-        star.gold(ITEMS)
-        .where(month_index("purchase_year", "purchase_month") >= first)
-        .groupBy(month_index("purchase_year", "purchase_month").alias("month_index"))
+        filtered(star, ITEMS, where)
+        .where((month > last - months) & (month <= last))
+        .groupBy(month.alias("month_index"))
         .agg(ratio(F.sum("delivery_days"), F.count("delivery_days")).alias("avg_delivery_days"))
     )
     labels = F.broadcast(timeline.months(star).select("month_index", "year_month"))
     return rows.join(labels, "month_index").select("year_month", "avg_delivery_days")
 
 
-def slowest_sellers(star: Star, n: int = 10, at_least: int = 10) -> DataFrame:
+def slowest_sellers(star: Star, n: int = 10, at_least: int = 10, where: Where = None) -> DataFrame:
     """Sellers with the longest average delivery, given enough delivered rows.
 
     The cut is made on seller keys, which rank like seller ids, so only the rows kept meet the dimension.
     """
-    delivered = star.gold(ITEMS).where(F.col("delivery_days").isNotNull() & F.col("seller_key").isNotNull())
+    delivered = filtered(star, ITEMS, where).where(F.col("delivery_days").isNotNull() & F.col("seller_key").isNotNull())
     speed = (
         delivered.groupBy("seller_key")
         .agg(
@@ -112,9 +113,9 @@ def slowest_sellers(star: Star, n: int = 10, at_least: int = 10) -> DataFrame:
     return sellers.join(F.broadcast(slowest), "seller_key").drop("seller_key")
 
 
-def region_delivery(star: Star) -> DataFrame:
+def region_delivery(star: Star, where: Where = None) -> DataFrame:
     """Delivery time and punctuality by region, the least punctual first."""
-    rows = report(star, ["avg_delivery_days", "on_time_delivery_pct", "delivered_items"], ["region"])
+    rows = report(star, ["avg_delivery_days", "on_time_delivery_pct", "delivered_items"], ["region"], where)
     return (
         rows.where((F.col("delivered_items") > 0) & F.col("region").isNotNull())
         .drop("delivered_items")
@@ -126,14 +127,14 @@ def region_delivery(star: Star) -> DataFrame:
     )
 
 
-def worst_state(star: Star) -> DataFrame:
-    rows = report(star, ["on_time_delivery_pct", "delivered_items"], ["customer_state"])
+def worst_state(star: Star, where: Where = None) -> DataFrame:
+    rows = report(star, ["on_time_delivery_pct", "delivered_items"], ["customer_state"], where)
     known = rows.where((F.col("delivered_items") > 0) & F.col("customer_state").isNotNull())
     return top_n(known.drop("delivered_items"), F.col("on_time_delivery_pct").asc(), 1, ["customer_state"])
 
 
-def cancellations_by_state(star: Star, n: int = 10) -> DataFrame:
-    rows = report(star, ["items_sold"], ["customer_state"], {"order_status": "canceled"})
+def cancellations_by_state(star: Star, n: int = 10, where: Where = None) -> DataFrame:
+    rows = report(star, ["items_sold"], ["customer_state"], {**(where or {}), "order_status": "canceled"})
     rows = rows.where(F.col("customer_state").isNotNull()).withColumnRenamed("items_sold", "canceled_item_rows")
     return top_n(rows, F.col("canceled_item_rows").desc(), n, ["customer_state"])
 
@@ -146,11 +147,8 @@ def late_rate(star: Star, state: str) -> DataFrame:
 # Customers
 
 
-def customer_kpis(star: Star, where: dict[str, Any] | None = None) -> DataFrame:
-    """``where`` holds calendar columns; the other filters do not reach new customers."""
-    names = ["active_customers", "repeat_customer_pct", "avg_review_score"]
-    fresh = timeline.new_customers(star, [], where)
-    return merge([report(star, names, where=where), fresh], [], [*names, "new_customers"])
+def customer_kpis(star: Star, where: Where = None) -> DataFrame:
+    return report(star, ["active_customers", "repeat_customer_pct", "avg_review_score", "new_customers"], where=where)
 
 
 def single_order_customers(star: Star) -> DataFrame:
@@ -179,16 +177,18 @@ def repeat_by_region(star: Star) -> DataFrame:
     )
 
 
-def customers_by_state(star: Star) -> DataFrame:
-    return star.gold("DimCustomer").groupBy("customer_state").agg(F.count("*").alias("customers"))
+def customers_by_state(star: Star, where: Where = None) -> DataFrame:
+    """Customers on file; ``where`` holds columns of customers and their region, since no other filter reaches them."""
+    people = dimension_rows(star, "customer_key", dict(where or {}))
+    return people.groupBy("customer_state").agg(F.count("*").alias("customers"))
 
 
-def review_distribution(star: Star) -> DataFrame:
-    scores = star.gold(REVIEWS).groupBy("review_score").agg(F.count("*").alias("reviews"))
+def review_distribution(star: Star, where: Where = None) -> DataFrame:
+    scores = filtered(star, REVIEWS, where).groupBy("review_score").agg(F.count("*").alias("reviews"))
     return share_of_total(scores, "reviews", "share")
 
 
-def _reviews_by_category(star: Star) -> DataFrame:
+def _reviews_by_category(star: Star, where: Where = None) -> DataFrame:
     """Reviews reach a category through the items of their order and count once per item.
 
     Reviews are added up per order before the join, so an order with many reviews and many items gives
@@ -206,7 +206,7 @@ def _reviews_by_category(star: Star) -> DataFrame:
         ),
         "order-reviews",
     )
-    items = star.gold(ITEMS).select("order_id", "product_key")
+    items = filtered(star, ITEMS, where).select("order_id", "product_key")
     per_product = (
         items.join(per_order, "order_id", "left")
         .groupBy("product_key")
@@ -223,14 +223,14 @@ def _reviews_by_category(star: Star) -> DataFrame:
     )
 
 
-def category_reviews(star: Star, n: int = 10) -> DataFrame:
-    rows = _reviews_by_category(star).where(F.col("scored") > 0)
+def category_reviews(star: Star, n: int = 10, where: Where = None) -> DataFrame:
+    rows = _reviews_by_category(star, where).where(F.col("scored") > 0)
     rows = rows.select("category_en", ratio("scores", "scored").alias("avg_review_score"), "items_sold")
     return top_n(rows, F.col("avg_review_score").desc(), n, ["category_en"])
 
 
-def five_star_share(star: Star, n: int = 10, at_least: int = 100) -> DataFrame:
-    rows = _reviews_by_category(star).where(F.col("reviews") >= at_least)
+def five_star_share(star: Star, n: int = 10, at_least: int = 100, where: Where = None) -> DataFrame:
+    rows = _reviews_by_category(star, where).where(F.col("reviews") >= at_least)
     share = ratio("five_star", "reviews").alias("five_star_pct")
     rows = rows.select("category_en", F.col("reviews").alias("review_rows"), share)
     return top_n(rows, F.col("five_star_pct").desc(), n, ["category_en"])
@@ -239,12 +239,12 @@ def five_star_share(star: Star, n: int = 10, at_least: int = 100) -> DataFrame:
 # Sales questions
 
 
-def payment_mix(star: Star, types: tuple[str, ...] = ("credit_card", "boleto")) -> DataFrame:
-    return report(star, ["paid_orders", "average_basket"], ["payment_type"], {"payment_type": types})
+def payment_mix(star: Star, types: tuple[str, ...] = ("credit_card", "boleto"), where: Where = None) -> DataFrame:
+    return report(star, ["paid_orders", "average_basket"], ["payment_type"], {**(where or {}), "payment_type": types})
 
 
-def installment_mix(star: Star) -> DataFrame:
-    return report(star, ["payment_rows", "total_payments"], ["payment_installments"])
+def installment_mix(star: Star, where: Where = None) -> DataFrame:
+    return report(star, ["payment_rows", "total_payments"], ["payment_installments"], where)
 
 
 def top_sellers(star: Star, n: int = 10, where: Where = None) -> DataFrame:
@@ -252,9 +252,9 @@ def top_sellers(star: Star, n: int = 10, where: Where = None) -> DataFrame:
     return top_n(rows, F.col("gmv").desc_nulls_last(), n, ["seller_id"])
 
 
-def last_month_top(star: Star, n: int = 5, state: str | None = None) -> DataFrame:
-    """Best-selling categories of the month before the last one on record."""
-    return _top_of(star, timeline.in_month(star, 1), n, state)
+def last_month_top(star: Star, n: int = 5, state: str | None = None, day: Column | None = None) -> DataFrame:
+    """Best-selling categories of the month before that of ``day``, by default the last purchase on record."""
+    return _top_of(star, timeline.in_month(star, 1, day), n, state)
 
 
 def _top_of(star: Star, items: DataFrame, n: int, state: str | None) -> DataFrame:

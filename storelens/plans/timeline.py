@@ -19,7 +19,7 @@ from storelens.operators import (
     trailing,
 )
 from storelens.plans.measures import ITEMS
-from storelens.plans.metrics import Star, condition, report
+from storelens.plans.metrics import Star, filtered, report
 
 
 def months(star: Star) -> DataFrame:
@@ -89,40 +89,26 @@ def gmv_mom(star: Star) -> DataFrame:
     return gmv_against(star, 1, "gmv_pm").select("year_month", F.col("change").alias("gmv_mom_pct"))
 
 
-def first_purchases(star: Star) -> DataFrame:
-    """The first date each customer ever bought on, whatever the report filters."""
-    return (
-        star.gold(ITEMS)
-        .where(F.col("customer_key").isNotNull() & F.col("purchase_date_key").isNotNull())
-        .groupBy("customer_key")
-        .agg(F.min("purchase_date_key").alias("first_date_key"))
-    )
+def new_customers(star: Star, by: list[str], where: dict | None = None) -> DataFrame:
+    """Customers whose first purchase ever lies within the days of the group."""
+    return report(star, ["new_customers"], by, where)
 
 
-def new_customers(star: Star, by: list[str], where: dict | None = None) -> DataFrame:
-    """Customers whose first purchase lies in the period; ``by`` and ``where`` are calendar columns."""
-    where = where or {}
-    days = star.gold("DimDate")
-    for column, value in where.items():
-        days = days.where(condition(column, value))
-    days = F.broadcast(days.select("date_key", *by))
-    # Counted per day first: the calendar meets a frame of its own size.
-    firsts = first_purchases(star).groupBy("first_date_key").agg(F.count("*").alias("firsts"))
-    joined = firsts.join(days, firsts["first_date_key"] == days["date_key"])
-    return joined.groupBy(*by).agg(F.coalesce(F.sum("firsts"), F.lit(0)).cast("bigint").alias("new_customers"))
-
-
-def new_and_returning(star: Star) -> DataFrame:
-    """Active customers of each month, split by whether it is their first."""
-    bought = (
-        star.gold(ITEMS)
-        .where(F.col("customer_key").isNotNull() & F.col("purchase_date_key").isNotNull())
-        .groupBy("customer_key", month_index("purchase_year", "purchase_month").alias("month_index"))
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
+def new_and_returning(star: Star, where: dict | None = None) -> DataFrame:
+    """Active customers of each month, split by whether it is their first ever, whatever the filter leaves of it."""
+    month = month_index("purchase_year", "purchase_month").alias("month_index")
+
+    def months_of(rows: DataFrame) -> DataFrame:
+        known = rows.where(F.col("customer_key").isNotNull() & F.col("purchase_date_key").isNotNull())
+        return known.groupBy("customer_key", month).agg(F.count(F.lit(1)).alias("lines"))
+
+    bought = months_of(star.gold(ITEMS))
     first = F.min("month_index").over(Window.partitionBy("customer_key"))
+    bought = bought.withColumn("first", first)
+    if where:
+        bought = bought.join(months_of(filtered(star, ITEMS, where)).drop("lines"), ["customer_key", "month_index"])
     split = (
-        bought.withColumn("is_first", F.col("month_index") == first)
+        bought.withColumn("is_first", F.col("month_index") == F.col("first"))
         .groupBy("month_index")
         .agg(
             F.count_if("is_first").alias("new_customers"),

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from storelens.plans import timeline
-from storelens.plans.metrics import Star, merge, report
+from storelens.plans.metrics import Star, report
 
 # Term -> measure.
 TERMS = {
@@ -28,8 +28,8 @@ TERMS = {
     "average delivery time": "avg_delivery_days",
     "late delivery": "late_items",
     "payments": "total_payments",
+    "new customers": "new_customers",
 }
-NEW_CUSTOMERS = "new customers"
 
 # Term -> filter.
 FILTERS: dict[str, dict[str, Any]] = {
@@ -61,12 +61,12 @@ GROUPS = {
     "payment type": "payment_type",
 }
 
-# Terms for a stretch of time, each a selection of item rows counted from the last purchase on record.
-PERIODS: dict[str, Callable[[Star], DataFrame]] = {
-    "this month": lambda star: timeline.in_month(star),
-    "last month": lambda star: timeline.in_month(star, 1),
-    "year to date": lambda star: timeline.year_to_date(star),
-    "last 30 days": lambda star: timeline.last_days(star, 30),
+# Terms for a stretch of time, each a selection of item rows counted from a day, by default the last purchase on record.
+PERIODS: dict[str, Callable[..., DataFrame]] = {
+    "this month": lambda star, day=None: timeline.in_month(star, 0, day),
+    "last month": lambda star, day=None: timeline.in_month(star, 1, day),
+    "year to date": lambda star, day=None: timeline.year_to_date(star, day),
+    "last 30 days": lambda star, day=None: timeline.last_days(star, 30, day),
 }
 
 
@@ -77,17 +77,8 @@ def answer(
     filters: Sequence[str] = (),
     where: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """A report asked for in business words; ``where`` adds filters on columns.
-
-    "new customers" looks at the calendar only: it may be grouped and filtered by calendar columns.
-    """
+    """A report asked for in business words; ``where`` adds filters on columns."""
     combined: dict[str, Any] = dict(where or {})
     for term in filters:
         combined.update(FILTERS[term])
-    columns = [GROUPS.get(b, b) for b in by]
-    names = [TERMS[t] for t in terms if t != NEW_CUSTOMERS]
-    frames = [report(star, names, columns, combined)] if names else []
-    if NEW_CUSTOMERS in terms:
-        frames.append(timeline.new_customers(star, columns, combined))
-        names.append("new_customers")
-    return merge(frames, columns, names)
+    return report(star, [TERMS[t] for t in terms], [GROUPS.get(b, b) for b in by], combined)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.operators import dense_key, latest
-from storelens.plans import gold, quality, reports, silver, timeline, vocabulary
+from storelens.plans import gold, pages, quality, reports, silver, timeline, vocabulary
 from storelens.plans.measures import ITEMS
 from storelens.plans.metrics import report
 from storelens.plans.warehouse import Warehouse
@@ -251,6 +251,28 @@ QUERIES: dict[str, Query] = {
     ),
     "m_repeat_flag": _star(lambda w: report(w, ["repeat_customer_pct"], ["is_repeat_customer"])),
     "m_new_customers": _star(lambda w: timeline.new_customers(w, ["year_month"])),
+    "m_new_customers_region": _star(lambda w: report(w, ["new_customers", "active_customers"], ["region", "year_month"])),
+    "m_new_customers_category": _star(lambda w: report(w, ["new_customers"], ["category_en", "year"])),
+    # Days with gaps between them, and a group of days that overlaps with others.
+    "m_new_customers_weekend": _star(lambda w: report(w, ["new_customers"], ["year"], {"is_weekend": True})),
+    "m_new_customers_weekend_state": _star(
+        lambda w: report(w, ["new_customers"], ["year"], {"is_weekend": True, "customer_state": STATE}),
+    ),
+    "m_gmv_ytd_region": _star(lambda w: report(w, ["gmv", "gmv_ytd"], ["region", "year_month"])),
+    "m_gmv_rolling_30d_category": _star(lambda w: report(w, ["gmv_rolling_30d"], ["category_en", "year_month"])),
+    "m_gmv_rolling_30d_daily": _star(
+        lambda w: report(w, ["gmv_rolling_30d", "gmv_ytd"], ["customer_state", "date"], {"year": YEAR, "region": REGION}),
+    ),
+    "m_gmv_yoy_state": _star(lambda w: report(w, ["gmv", "gmv_ly", "gmv_yoy_pct"], ["customer_state", "year"])),
+    "m_gmv_mom_category": _star(lambda w: report(w, ["gmv_mom_pct"], ["category_en", "year_month"])),
+    "m_gmv_ly_month_name": _star(lambda w: report(w, ["gmv", "gmv_ly"], ["year"], {"month_name": MONTH_NAME})),
+    "m_gmv_ly_daily": _star(lambda w: report(w, ["gmv", "gmv_ly", "gmv_pm"], ["date"], {"category_en": CATEGORY})),
+    "m_category_mix_region": _star(
+        lambda w: report(w, ["category_pct_of_total", "cumulative_gmv_pct"], ["region", "category_en"], {"year": YEAR}),
+    ),
+    "m_one_category_share": _star(
+        lambda w: report(w, ["gmv", "category_pct_of_total", "cumulative_gmv_pct"], ["year"], {"category_en": CATEGORY}),
+    ),
     "m_gmv_ytd": _star(timeline.gmv_ytd),
     "m_gmv_ly": _star(timeline.gmv_ly),
     "m_gmv_yoy_pct": _star(timeline.gmv_yoy),
@@ -289,6 +311,8 @@ QUERIES: dict[str, Query] = {
     "v_review_distribution": _star(reports.review_distribution),
     "v_category_reviews": _star(reports.category_reviews),
     "v_drill_state": _star(lambda w: drill_state(w, STATE)),
+    "v_drill_through": _star(lambda w: pages.listed(pages.drill_through(w, STATE))),
+    "v_executive_page": _star(lambda w: pages.listed({"executive": pages.executive(w, {"year": YEAR, "region": REGION})})),
     # Questions
     "q_top_categories_year": _star(lambda w: reports.top_categories(w, 5, {"year": YEAR})),
     "q_region_delivery": _star(reports.region_delivery),
