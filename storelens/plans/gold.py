@@ -112,6 +112,15 @@ def order_header(orders: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
+def within(header: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The header as it is; an order bought outside the calendar fails the job that reads it."""
+    first, last = (bounds.select(date_key(c)).scalar() for c in ("first", "last"))
+    key = F.col("purchase_date_key")
+    outside = F.concat(F.lit("an order was bought outside the calendar, on "), key.cast("string"))
+    checked = F.when((key < first) | (key > last), F.raise_error(outside)).otherwise(key)
+    return header.withColumn("purchase_date_key", checked.cast("int"))
+
+
 def fact_order_items(
     items: DataFrame, header: DataFrame, products: DataFrame, sellers: DataFrame
 ) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from storelens.plans import reports, timeline
 from storelens.plans.metrics import Star
+from storelens.plans.versions import Versions
 
 # The questions and key-figure sets a dashboard refresh writes; ``year`` is the year on show.
 SNAPSHOT: dict[str, Callable[[Star, int], DataFrame]] = {
@@ -28,10 +29,25 @@ SNAPSHOT: dict[str, Callable[[Star, int], DataFrame]] = {
 
 
 def write(star: Star, dst: str, year: int, only: Mapping[str, Callable] | None = None) -> dict[str, str]:
-    """Write the snapshot under ``dst``, a folder per report, replacing the last one."""
-    written = {}
+    """Write the snapshot as a new version under ``dst``, a folder per report; it is live when all reports are written.
+
+    With ``only``, the other reports of the live version are taken over by their paths.
+    """
+    versions = Versions(star.spark, dst)
+    written = dict(paths(star.spark, dst)) if only else {}
+    folder = versions.begin()
     for name, make in (only or SNAPSHOT).items():
-        path = f"{dst}/{name}"
-        make(star, year).write.mode("overwrite").parquet(path)
-        written[name] = path
+        make(star, year).write.parquet(f"{folder}/{name}")
+        written[name] = f"{folder}/{name}"
+    listed = star.spark.createDataFrame(list(written.items()), "report string, path string")
+    listed.coalesce(1).write.parquet(f"{folder}/_reports")
+    versions.publish(folder)
     return written
+
+
+def paths(spark: SparkSession, dst: str) -> dict[str, str]:
+    """The reports of the live snapshot and where each lies."""
+    live = Versions(spark, dst).live()
+    if live is None:
+        return {}
+    return {r.report: r.path for r in spark.read.parquet(f"{live}/_reports").collect()}

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.plans import gold, silver
+from storelens.plans.versions import Versions
 from storelens.schemas import GOLD, SILVER
 from storelens.session import path_exists, staging_area
 
@@ -18,15 +19,14 @@ from storelens.session import path_exists, staging_area
 HEADER = "_order_header"
 
 FACTS = frozenset(("FactOrderItems", "FactPayments", "FactReviews"))
-# The mark of a finished build beside the layers.
-FINISHED = "_finished"
 
 
 class Warehouse:
     """Silver and gold under ``root``, as Parquet.
 
     A table is written when it is first asked for, together with what it depends on, and read from then
-    on. Nothing is taken over from an earlier run: ``root`` belongs to one build. Facts lie in folders by purchase
+    on. Nothing is taken over from an earlier run: ``root`` belongs to one build, and no table in it is written twice. Orders
+    bought outside ``bounds`` would drop out of what joins the calendar; they fail the build of the facts. Facts lie in folders by purchase
     year and month; ``partitioned=False`` keeps the two columns in the files, for a shop whose months are small.
     """
 
@@ -78,7 +78,7 @@ class Warehouse:
             case "DimGeography":
                 return gold.dim_geography(s("customers"), s("sellers"), self._regions)
             case "_order_header":
-                return gold.order_header(s("orders"), g("_bridge_customer"))
+                return gold.within(gold.order_header(s("orders"), g("_bridge_customer")), self._bounds)
             case "FactOrderItems":
                 return gold.fact_order_items(s("order_items"), g(HEADER), g("DimProduct"), g("DimSeller"))
             case "FactPayments":
@@ -93,10 +93,6 @@ class Warehouse:
     def build_gold(self) -> None:
         self._together(self.gold, GOLD)
 
-    def finish(self) -> None:
-        """Marks the layers as complete, so that other sessions may open them."""
-        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{FINISHED}")
-
     def _together(self, build: Callable[[str], DataFrame], names: Iterable[str]) -> None:
         """Submit the tables side by side, so that small ones do not hold up the cluster one by one."""
         with ThreadPoolExecutor(max_workers=8) as pool:
@@ -128,12 +124,16 @@ class Warehouse:
 
 
 class Lake(Warehouse):
-    """The finished layers of an earlier build, opened for reading: nothing is built and nothing is written."""
+    """The live version of a lake, opened for reading: nothing is built and nothing is written.
+
+    The version is looked up once, here. A build that is published later is seen by lakes opened after it.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        if not path_exists(spark, f"{root}/{FINISHED}"):
-            raise FileNotFoundError(f"{root} holds no finished build")
-        super().__init__(spark, root, self._no_source, None, None)
+    def __init__(self, spark: SparkSession, lake: str):
+        live = Versions(spark, lake).live()
+        if live is None:
+            raise FileNotFoundError(f"{lake} holds no finished build")
+        super().__init__(spark, live, self._no_source, None, None)
 
     @staticmethod
     def _no_source(name: str) -> DataFrame:

@@ -20,7 +20,9 @@ RUN = datetime(2024, 5, 1, 12, 0, 0, tzinfo=timezone.utc)
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("retail")
-    return pipeline.run(spark, str(write_csv(folder / "csv")), str(folder / "out"), RUN)
+    built = pipeline.run(spark, str(write_csv(folder / "csv")), str(folder / "out"), RUN)
+    built.lake = str(folder / "out")
+    return built
 
 
 def by(df, key: str) -> dict:
@@ -322,7 +324,7 @@ def test_another_session_opens_the_lake_without_a_write(spark, built):
         return {(p, p.stat().st_mtime_ns) for p in Path(built.root).rglob("*.parquet")}
 
     before = files()
-    lake = pipeline.open_lake(spark.newSession(), built.root)
+    lake = pipeline.open_lake(spark.newSession(), built.lake)
     assert lake.star("FactOrderItems").count() == built.star("FactOrderItems").count()
     assert report(lake, ["gmv"]).first() == report(built, ["gmv"]).first()
     assert files() == before
@@ -545,8 +547,18 @@ def test_snapshot(spark, built, tmp_path):
     assert set(written) == set(marts.SNAPSHOT)
     kpis = spark.read.parquet(written["executive_kpis"]).first()
     assert kpis["gmv"] == Decimal("253.50") and kpis["gmv_ly"] is None and kpis["gmv_yoy_pct"] is None
-    marts.write(built, str(tmp_path), 2018, {"executive_kpis": marts.SNAPSHOT["executive_kpis"]})
-    assert spark.read.parquet(written["executive_kpis"]).first()["gmv_ly"] == Decimal("253.50")
+    again = marts.write(built, str(tmp_path), 2018, {"executive_kpis": marts.SNAPSHOT["executive_kpis"]})
+    assert spark.read.parquet(again["executive_kpis"]).first()["gmv_ly"] == Decimal("253.50")
+    assert again["pareto"] == written["pareto"] and marts.paths(spark, str(tmp_path)) == again
+    # Who holds the first snapshot still reads it.
+    assert spark.read.parquet(written["executive_kpis"]).first()["gmv_ly"] is None
+
+
+def test_a_snapshot_that_fails_leaves_the_last_one(spark, built, tmp_path):
+    written = marts.write(built, str(tmp_path), 2017, {"pareto": marts.SNAPSHOT["pareto"]})
+    with pytest.raises(ZeroDivisionError):
+        marts.write(built, str(tmp_path), 2017, {"pareto": marts.SNAPSHOT["pareto"], "broken": lambda star, year: 1 / 0})
+    assert marts.paths(spark, str(tmp_path)) == written
 
 
 # Quality
