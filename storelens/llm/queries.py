@@ -69,7 +69,7 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = sharding.store_map(sharding.edited_map(sizes, 8), folder)
     first = sharding.load_map(spark, folder, version)
     grown = sharding.load_map(spark, folder, sharding.store_map(sharding.edited_map(sizes, 9, before=first), folder))
-    next_shard = F.broadcast(grown.select("virtual_slot", F.col("shard").alias("grown_shard")))
+    next_shard = F.broadcast(grown.select("virtual_slot", F.col("shard").alias("next_shard")))
     return sharding.placed(rows, first).join(next_shard, "virtual_slot").select(
         "doc_id",
         "size",
@@ -77,8 +77,9 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bytes").alias("law"),
         "shard",
         "slot",
-        "grown_shard",
+        F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
+        "next_shard",
     )
 
 
