@@ -811,6 +811,7 @@ STATEMENTS: dict[str, str] = {
         GROUP BY ROLLUP (layer, "table")""",
     "incremental_delta": "SELECT * FROM b_items WHERE _ingested_at > (SELECT MAX(o_orderdate) FROM orders)",
     "incremental_upsert": "SELECT * FROM s_items",
+    "incremental_deltas": "SELECT * FROM s_items",
     "stream_upsert_items": "SELECT * FROM s_items",
 }
 

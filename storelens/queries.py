@@ -21,6 +21,7 @@ from storelens.sources import testviews
 from storelens.sources.parquet import stamp
 from storelens.streaming import delta_since, stream_upsert, upsert
 from storelens.streaming.incremental import BUCKET
+from storelens.streaming.merge_on_read import LatestTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +164,17 @@ def incremental_upsert(spark: SparkSession, root: str) -> DataFrame:
     return silver.order_items(spark.read.schema(items.schema).parquet(target))
 
 
+def incremental_deltas(spark: SparkSession, root: str) -> DataFrame:
+    """Items merged as one base and three deltas in no order of time; then typed as silver."""
+    items = testviews.order_items(spark, root)
+    table = LatestTable(spark, _scratch(spark, "latest-items"), ["order_id", "order_item_id"])
+    # By order and time, so that the versions of one item come in different batches.
+    quarter = F.pmod(F.xxhash64("order_id", "_ingested_at"), F.lit(4))
+    for n in (2, 0, 3, 1):
+        table.merge(items.where(quarter == n), n)
+    return silver.order_items(table.read())
+
+
 def stream_upsert_items(spark: SparkSession, root: str) -> DataFrame:
     """Items streamed from their files and merged batch by batch; then typed as silver."""
     schema = testviews.raw(spark, root, "lineitem").schema
@@ -355,5 +367,6 @@ QUERIES: dict[str, Query] = {
     # Incremental
     "incremental_delta": incremental_delta,
     "incremental_upsert": incremental_upsert,
+    "incremental_deltas": incremental_deltas,
     "stream_upsert_items": stream_upsert_items,
 }
