@@ -30,9 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.llm.common import packed, text_of
+from storelens.llm.common import finished, packed, text_of
 from storelens.llm.components import components
-from storelens.llm.jaccard import near_components
 from storelens.session import staged
 
 SEED = 42
@@ -348,17 +347,25 @@ def simhash_components(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, one per component, with all their columns: the one with the lowest id.
+    """The rows that stay, one per component of ``simhash_components``, with all their columns: the one with the lowest id.
 
-    Near copies are texts with a five-word shingle similarity of 0.8 or more. Fingerprints can't tell them: such texts
-    are up to ten bits apart, and others that are less similar are as near.
+    Shingles of four words and at most four differing bits. Only rows that agree in id and text are told apart by a window
+    over whole rows; all others are joined to the short list of those that stay.
     """
-    rows = near_components(docs, id_col, text_col)
-    first = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
-    kept = staged(rows.withColumn("place", F.row_number().over(first)).where("place = 1").select("doc_id", "text_hash"), "near-kept")
-    keyed = packed(docs).select(
-        "whole", F.col(f"whole.`{id_col}`").alias("own_id"), F.xxhash64(F.coalesce(F.col(f"whole.`{text_col}`"), F.lit(""))).alias("own_hash")
-    )
-    stays = keyed.join(kept, keyed.own_id.eqNullSafe(kept.doc_id) & (keyed.own_hash == kept.text_hash), "left_semi")
-    same = Window.partitionBy("own_id", "own_hash").orderBy("own_id", "own_hash")
-    return stays.withColumn("copy", F.row_number().over(same)).where("copy = 1").select("whole.*")
+    spark = docs.sparkSession
+
+    def stays() -> DataFrame:
+        rows = simhash_components(docs, id_col, text_col, shingle=4, distinct=False, max_distance=4)
+        first = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
+        one = rows.withColumn("place", F.row_number().over(first)).where("place = 1").select("doc_id", "text_hash")
+        copies = rows.groupBy(F.col("doc_id").alias("same_id"), F.col("text_hash").alias("same_hash")).agg(F.count(F.lit(1)).alias("copies"))
+        same = one.doc_id.eqNullSafe(copies.same_id) & (one.text_hash == copies.same_hash)
+        return one.join(copies, same).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "copies")
+
+    kept = finished(spark, "near-kept", stays)
+    text_hash = F.xxhash64(F.coalesce(F.col(f"whole.`{text_col}`"), F.lit("")))
+    keyed = packed(docs).select("whole", F.col(f"whole.`{id_col}`").alias("own_id"), text_hash.alias("own_hash"))
+    joined = keyed.join(kept, keyed.own_id.eqNullSafe(kept.kept_id) & (keyed.own_hash == kept.kept_hash))
+    alike = Window.partitionBy("own_id", "own_hash").orderBy("own_id", "own_hash")
+    repeated = joined.where("copies > 1").withColumn("copy", F.row_number().over(alike)).where("copy = 1")
+    return joined.where("copies = 1").select("whole.*").unionByName(repeated.select("whole.*"))
