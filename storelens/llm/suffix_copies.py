@@ -38,8 +38,10 @@ from storelens.session import staged
 LENGTH = 200
 PART = 32
 BLOCK_BYTES = 1 << 20
-SHARD_BYTES = 1_500_000
-BATCH_BYTES = 1 << 24
+# Small shards and batches: sorts stay in the cache and a worker in a few hundred MB.
+SHARD_BYTES = 400_000
+BATCH_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 # An anchor with more segments than this is cut again, window by window.
 HOT_ROWS = 8000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -357,7 +359,9 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
 
 
 def found_in(pieces: DataFrame, length: int, part: int) -> DataFrame:
-    """``a, b, spans`` of the pieces that hold repeated windows: runs of them by first window, number and ``later``.
+    """``a, b, first, spans`` of the pieces that hold repeated windows: runs of them by first window, number and ``later``.
+
+    Pieces of one name have the same runs, once for each of them.
 
     ``pieces`` has ``a, b`` (its name), ``doc, hash, at`` (its first place), ``weight`` (how often it stands there) and ``text``.
     """
@@ -386,7 +390,7 @@ def found_in(pieces: DataFrame, length: int, part: int) -> DataFrame:
         lambda s: F.struct((F.col("firsts") + s["offset"]).alias("offset"), s["n"].alias("n"), (s["later"] | ~is_first).alias("later")),
     )
     gathered = joined.select("a", "b", "first", spans.alias("spans")).groupBy("a", "b")
-    return gathered.agg(F.min("first").alias("first"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return gathered.agg(F.min("first").alias("first"), F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def different(texts: DataFrame) -> DataFrame:
@@ -434,7 +438,7 @@ def kept_bytes(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in batches_of(whole, "text", BATCH_BYTES):
+            for batch in batches_of(whole, "text", SLICE_BYTES):
                 sizes, gone, removed, kept = [], [], [], []
                 for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                     runs = merged(spans or [], length)
