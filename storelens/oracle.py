@@ -414,6 +414,13 @@ _PARETO = f"""
     FROM category_gmv a"""
 
 
+def _distinct_rollup(levels: str, where: str = "TRUE") -> str:
+    return f"""
+        SELECT {levels}, CAST(GROUPING({levels}) AS INTEGER) AS level_id, {_ORDERS} AS order_count,
+               COUNT(DISTINCT customer_key) AS active_customers
+        FROM items WHERE {where} GROUP BY ROLLUP ({levels})"""
+
+
 def _cells(groups: str, where: str = "TRUE") -> str:
     """First and last day of each group of calendar days."""
     return f"SELECT {groups}, MIN(date) AS a, MAX(date) AS b FROM d_date WHERE {where} GROUP BY {groups}"
@@ -781,6 +788,9 @@ STATEMENTS: dict[str, str] = {
         SELECT d.year_month, {_money("total_value")} AS gmv
         FROM f_items JOIN d_date d ON d.date_key = delivered_date_key GROUP BY d.year_month""",
     "rollup_date": _rollup("year, quarter, month, day"),
+    "rollup_geo_distinct": _distinct_rollup("region, customer_state, customer_city"),
+    "rollup_product_distinct": _distinct_rollup("category_en, product_id"),
+    "rollup_date_distinct": _distinct_rollup("year, quarter, month, day", f"category_en = '{CATEGORY}'"),
     "rollup_geo": _rollup("region, customer_state, customer_city"),
     "rollup_product": _rollup("category_en, product_id"),
     "metric_layer_two_facts": f"""

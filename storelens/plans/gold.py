@@ -16,6 +16,8 @@ from storelens.schemas import REGIONS, UNKNOWN_REGION, UNKNOWN_WEIGHT, WEIGHT_BU
 
 # The facts lie in folders by purchase year and month.
 FACT_PARTITIONS = ["purchase_year", "purchase_month"]
+# A dense number per order, written beside the gold tables; not part of the star.
+ORDER_NUMBERS = "_order_number"
 
 
 def dim_date(bounds: DataFrame) -> DataFrame:
@@ -112,6 +114,11 @@ def order_header(orders: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
+def order_numbers(header: DataFrame) -> DataFrame:
+    """A dense number for each order, for bitmaps of orders."""
+    return dense_key(header.select("order_id"), "order_id", "order_number", unique=True)
+
+
 def within(header: DataFrame, bounds: DataFrame) -> DataFrame:
     """The header as it is; an order bought outside the calendar fails the job that reads it."""
     first, last = (bounds.select(date_key(c)).scalar() for c in ("first", "last"))

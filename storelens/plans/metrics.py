@@ -197,7 +197,7 @@ def aggregate(
     totals = {n: m for n in names if isinstance(m := MEASURES[n], Total)}
     distincts = {n: m for n in names if isinstance(m := MEASURES[n], Distinct)}
     needs = [c for m in distincts.values() for c in sorted(m.needs)]
-    rows, foreign, joined = _reached(star, fact, [*by, *where, *needs], where, role)
+    rows, foreign, joined = reached(star, fact, [*by, *where, *needs], where, role)
 
     # An order and a customer each have one customer key. With no other dimension a frame at the grain of
     # the counted id carries the totals along; otherwise the totals are taken on their own.
@@ -217,7 +217,7 @@ def aggregate(
     return merge(frames, by, names)
 
 
-def _reached(
+def reached(
     star: Star, fact: str, columns: Sequence[str], where: Mapping[str, Any], role: str
 ) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
     """The rows of a fact with its own and the calendar's filters applied, the keys into the other dimensions that
@@ -249,7 +249,7 @@ def _reached(
 def filtered(star: Star, fact: str, where: Mapping[str, Any] | None) -> DataFrame:
     """The rows of a fact that meet the filters of a report; without filters the fact as it is."""
     where = dict(where or {})
-    rows, _, joined = _reached(star, fact, list(where), where, "purchase")
+    rows, _, joined = reached(star, fact, list(where), where, "purchase")
     kept = rows.columns
     # A filter on a dimension keeps or drops a row and never repeats it: keys are unique there.
     return joined(rows).select(*[c for c in star.gold(fact).columns if c in kept])
@@ -257,7 +257,7 @@ def filtered(star: Star, fact: str, where: Mapping[str, Any] | None) -> DataFram
 
 def first_dates(star: Star, by: Sequence[str], where: Mapping[str, Any]) -> DataFrame:
     """``customer_key``, ``by`` and ``_bought``, the first date key on which each customer bought within ``by`` and ``where``."""
-    rows, foreign, joined = _reached(star, ITEMS, [*by, *where], where, "purchase")
+    rows, foreign, joined = reached(star, ITEMS, [*by, *where], where, "purchase")
     rows = rows.where(F.col("customer_key").isNotNull() & F.col("purchase_date_key").isNotNull())
     grain = dict.fromkeys(["customer_key", *foreign, *[c for c in by if c in rows.columns]])
     early = rows.groupBy(*grain).agg(F.min("purchase_date_key").alias("_bought"))

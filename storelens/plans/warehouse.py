@@ -79,6 +79,8 @@ class Warehouse:
                 return gold.dim_geography(s("customers"), s("sellers"), self._regions)
             case "_order_header":
                 return gold.within(gold.order_header(s("orders"), g("_bridge_customer")), self._bounds)
+            case gold.ORDER_NUMBERS:
+                return gold.order_numbers(g(HEADER))
             case "FactOrderItems":
                 return gold.fact_order_items(s("order_items"), g(HEADER), g("DimProduct"), g("DimSeller"))
             case "FactPayments":
@@ -91,7 +93,7 @@ class Warehouse:
         self._together(self.silver, SILVER)
 
     def build_gold(self) -> None:
-        self._together(self.gold, GOLD)
+        self._together(self.gold, [*GOLD, gold.ORDER_NUMBERS])
 
     def _together(self, build: Callable[[str], DataFrame], names: Iterable[str]) -> None:
         """Submit the tables side by side, so that small ones do not hold up the cluster one by one."""

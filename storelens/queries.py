@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.operators import dense_key, latest
-from storelens.plans import gold, pages, quality, reports, silver, timeline, vocabulary
+from storelens.plans import gold, hierarchies, pages, quality, reports, silver, timeline, vocabulary
 from storelens.plans.measures import ITEMS
 from storelens.plans.metrics import report
 from storelens.plans.warehouse import Warehouse
@@ -351,6 +351,9 @@ QUERIES: dict[str, Query] = {
     "gmv_by_delivered_month": _star(gmv_by_delivered_month),
     # Hierarchies and the metric layer
     "rollup_date": _star(lambda w: reports.rollup_of(w, reports.HIERARCHIES["date"])),
+    "rollup_geo_distinct": _star(lambda w: hierarchies.distinct_rollup(w, reports.HIERARCHIES["geography"])),
+    "rollup_product_distinct": _star(lambda w: hierarchies.distinct_rollup(w, reports.HIERARCHIES["product"])),
+    "rollup_date_distinct": _star(lambda w: hierarchies.distinct_rollup(w, reports.HIERARCHIES["date"], {"category_en": CATEGORY})),
     "rollup_geo": _star(lambda w: reports.rollup_of(w, reports.HIERARCHIES["geography"])),
     "rollup_product": _star(lambda w: reports.rollup_of(w, reports.HIERARCHIES["product"])),
     "metric_layer_two_facts": _star(
