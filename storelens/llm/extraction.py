@@ -5,7 +5,10 @@ link or not), tags by their name, always below zero. The scores are log-odds, co
 label their own article (an ``article`` or ``main`` element). One scan finds the contiguous run with the greatest
 sum; the text is the run's words without those of menus, headers, footers, sidebars, notices, adverts, forms and comments.
 
-Words of such a section within an article cost next to nothing, so that an advert can't split the article around it.
+Words of such a section within an article cost next to nothing, so that an advert can't split the article around it. A section is
+told by its element or by a word in its class, id or role (the lists below). Wrappers around a whole page may bear such words
+too: those of layout ("has-sidebar") are passed over, and a form or a hinted element that holds the page's only article
+sets nothing aside. Headings in the header of an article belong to it.
 
 Defined results: null and empty pages, and pages without a word of content, give an empty text. White space is what
 ``str.split`` takes for it. A tag that never ends runs to the end of the page. Repeated rows give equal texts.
@@ -17,7 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from html import unescape
 from math import log
 
@@ -30,9 +33,17 @@ from pyspark.sql import types as T
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title")
 ASIDE = frozenset("head nav header footer aside form button select dialog menu object canvas".split()) | frozenset(RAW)
 HINTS = frozenset(
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer footer header login "
-    "menu nav navbar navigation newsletter notice notices popup promo promotion related share sharing sidebar social sponsored subscribe widget".split()
+    "breadcrumb breadcrumbs cookie cookies disclaimer footer header login menu nav navbar navigation newsletter notice notices "
+    "popup related share sharing sidebar social subscribe widget".split()
 )
+# Hints that hold whatever else is said or found in the element: adverts, and what readers write.
+FIRM_HINTS = frozenset(
+    "ad ads advert adverts advertisement banner comment comments discussion disqus promo promotion replies reply respond sponsored".split()
+)
+# Class words that, standing alone, outweigh other hints; words after which a hint tells of the page's layout only.
+CONTENT_WORDS = frozenset("article content entry main post story".split())
+LAYOUT_WORDS = frozenset("has no with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset(("article", "main"))
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -43,8 +54,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS = {"p": BLOCKS - {"br"}, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "option": frozenset(("option",)),
         "tr": frozenset(("tr",)), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr"))}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<", re.S)
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+# Quotes count only after an equals sign, and only if they are closed.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)|[^<]+|<", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 _HINT_WORD = re.compile(r"[a-z]+")
 
 
@@ -59,23 +71,73 @@ class Run:
     features: tuple[str, ...]
 
 
-def hinted(attributes: str) -> bool:
-    """Does a class or id name something that is no content?"""
-    return any(not HINTS.isdisjoint(_HINT_WORD.findall(m[1].lower())) for m in _HINT.finditer(attributes))
+@dataclass(slots=True)
+class Open:
+    """An open element and what follows from it and those around it for the text in it."""
+
+    name: str
+    asides: int  # elements around the text that set it aside, without headers of articles
+    headers: int  # headers of articles around it
+    firm: int  # those of the asides that are no wrappers
+    inside: bool  # in an article
+    link: bool
+    block_at: int  # place of the innermost block among the open elements, -1 if there is none
+    wrapper: int  # number of the wrapper that this element is, -1 if it is none
+
 
+OUTERMOST = Open("", 0, 0, 0, False, False, -1, -1)
 
-def tokens(html: str) -> Iterator[Run | str]:
-    """Runs of text, and between them the names of block tags (with a slash where they end)."""
-    open_: list[tuple[str, str]] = []  # name, kind of section it begins: "content", "aside" or ""
-    block, raw = 0, None
+
+@dataclass
+class Layout:
+    """What one scan says of a whole page: whether an article stands outside of all that is set aside, and the wrappers around
+    the others. A wrapper is a form, or an element that a hint sets aside, but for firm hints."""
+
+    content: bool = False
+    around: set[int] = field(default_factory=set)
+
+
+def hints_of(name: str, attributes: str) -> frozenset[str]:
+    """The hints in an element's classes, id and role."""
+    if name in ("html", "body") or "=" not in attributes:
+        return frozenset()
+    found, content = set(), False
+    for attribute in _ATTRIBUTE.finditer(attributes):
+        if attribute[1].lower() in ("class", "id", "role"):
+            for value in attribute[2].strip("\"'").lower().split():
+                words = _HINT_WORD.findall(value)
+                content = content or value in CONTENT_WORDS
+                if LAYOUT_WORDS.isdisjoint(words):
+                    found.update(words)
+    firm = found & FIRM_HINTS
+    if firm or content:
+        return frozenset(firm)
+    return frozenset(found & (HINTS - {"header"} if name in HEADINGS else HINTS))
+
+
+def tokens(html: str, layout: Layout, opened: frozenset[int] = frozenset()) -> Iterator[Run | str]:
+    """Runs of text, and between them the names of block tags (with a slash where they end).
+
+    Fills ``layout``. The wrappers numbered in ``opened`` set nothing aside.
+    """
+    open_: list[Open] = []
+    places: dict[str, list[int]] = {}  # of the open elements, by name
+    wrappers: list[int] = []  # numbers of the open ones
+    block, raw, count = 0, None, 0
     at, size = 0, len(html)
 
     def run(text: str) -> Run:
-        kinds = [kind for _, kind in open_ if kind]
-        leaf = next((name for name, _ in reversed(open_) if name in BLOCKS), "none")
-        link = any(name == "a" for name, _ in open_)
-        section = kinds[-1] if kinds else "none"
-        return Run(block, text, "aside" in kinds, "content" in kinds, (f"section {section}", f"block {leaf}", f"link {link}"))
+        top = open_[-1] if open_ else OUTERMOST
+        aside = top.asides > 0 or top.headers > 0 and not (top.block_at >= 0 and open_[top.block_at].name in HEADINGS)
+        leaf = open_[top.block_at].name if top.block_at >= 0 else "none"
+        return Run(block, text, aside, top.inside, (f"block {leaf}", f"link {top.link}"))
+
+    def close(place: int) -> None:
+        while len(open_) > place:
+            element = open_.pop()
+            places[element.name].pop()
+            if element.wrapper >= 0:
+                wrappers.pop()
 
     while at < size:
         if raw is not None:
@@ -92,23 +154,47 @@ def tokens(html: str) -> Iterator[Run | str]:
             continue
         name = name.lower()
         if match[1]:
-            names = [n for n, _ in open_]
-            if name in names:
-                del open_[len(names) - 1 - names[::-1].index(name) :]
+            if places.get(name):
+                close(places[name][-1])
         else:
-            while open_ and name in ENDS.get(open_[-1][0], ()):
-                open_.pop()
-            if name == "p" or name in ("li", "tr"):  # inline elements left open don't keep a block open
-                names = [n for n, _ in open_]
-                for i in range(len(names) - 1, -1, -1):
-                    if names[i] == name:
-                        del open_[i:]
-                        break
-                    if names[i] in BLOCKS:
-                        break
-            kind = "content" if name in CONTENT else "aside" if name in ASIDE or hinted(match[3]) else ""
+            while open_ and name in ENDS.get(open_[-1].name, ()):
+                close(len(open_) - 1)
+            if name in ("p", "li", "tr") and open_:  # inline elements left open don't keep a block open
+                inner = open_[-1].block_at
+                if inner >= 0 and open_[inner].name == name:
+                    close(inner)
+            top = open_[-1] if open_ else OUTERMOST
+            hints = hints_of(name, match[3])
+            header = name == "header" and not hints and top.inside and places.get("article")
+            firm = not header and (name in ASIDE and name != "form" or not hints.isdisjoint(FIRM_HINTS))
+            wrapper = -1
+            if not firm and (hints or name == "form"):
+                wrapper, count = count, count + 1
+            if name in CONTENT and not hints or name == "nav" and "form" in places:
+                if name != "nav" and not top.asides:
+                    layout.content = True
+                elif not top.firm:
+                    for number in reversed(wrappers):
+                        if number in layout.around:
+                            break
+                        layout.around.add(number)
             if name not in VOID and not match[3].rstrip().endswith("/"):
-                open_.append((name, kind))
+                aside = firm or wrapper >= 0 and wrapper not in opened
+                places.setdefault(name, []).append(len(open_))
+                if wrapper >= 0:
+                    wrappers.append(wrapper)
+                open_.append(
+                    Open(
+                        name,
+                        top.asides + aside,
+                        top.headers + bool(header),
+                        top.firm + firm,
+                        top.inside or name in CONTENT and not hints,
+                        top.link or name == "a",
+                        len(open_) if name in BLOCKS else top.block_at,
+                        wrapper,
+                    )
+                )
                 if name in RAW:
                     raw = name
         if name in BLOCKS:
@@ -116,10 +202,23 @@ def tokens(html: str) -> Iterator[Run | str]:
             yield "/" + name if match[1] else name
 
 
+def scanned(html: str) -> tuple[list[Run | str], bool]:
+    """The tokens of a page, and whether it has an article. Wrappers around a page's only articles are opened."""
+    layout = Layout()
+    items = list(tokens(html, layout))
+    if not layout.content and layout.around:
+        opened, layout = frozenset(layout.around), Layout()
+        items = list(tokens(html, layout, opened))
+    return items, layout.content
+
+
 # ---------------------------------------------------------------- scores
 
-# Counts in and outside of articles that every feature starts with. Fixed values.
-PRIOR = {"section content": (60, 1), "section aside": (1, 60), "section none": (10, 10), "block p": (20, 5), "block li": (5, 10), "link True": (2, 20)}
+# Shares in and outside of articles that every feature starts with, the share that keeps rare ones near zero, and how far each
+# kind may move a word: where a word stands weighs more than its block and links together. Fixed values.
+PRIOR = {"section content": (1.0, 0.0), "section none": (0.0, 1.0), "block p": (0.1, 0.02), "block li": (0.01, 0.05), "link False": (0.1, 0.05), "link True": (0.0, 0.3)}
+RARE = 0.01
+LIMITS = {"section": 3.0, "block": 1.0, "link": 1.0, "tag": 3.0}
 LIMIT = 3.0
 ASIDE_WORD = -2.0
 INNER_ASIDE_WORD = -0.001
@@ -132,48 +231,53 @@ class Scores:
 
     odds: dict[str, float]
 
-    def word(self, run: Run) -> float:
+    def word(self, run: Run, content: bool) -> float:
+        """Of one word of a run. In a page without an article it does not matter where the run stands."""
         if run.aside:
             return INNER_ASIDE_WORD if run.inside else ASIDE_WORD
-        return max(-LIMIT, min(LIMIT, sum(self.odds.get(f, 0.0) for f in run.features)))
+        section = self.odds.get(section_of(run), 0.0) if content else 0.0
+        return max(-LIMIT, min(LIMIT, section + sum(self.odds.get(f, 0.0) for f in run.features)))
 
     def tag(self, name: str) -> float:
         low, high = TAG_LIMIT
         return max(low, min(high, 0.05 * self.odds.get(f"tag {name}", 0.0) - 0.05))
 
 
+def section_of(run: Run) -> str:
+    return "section content" if run.inside else "section none"
+
+
 def scores_of(counts: dict[str, tuple[int, int]]) -> Scores:
-    """Log-odds from counts inside and outside of articles, each kind of feature against its own total."""
-    merged = {f: [1 + a, 1 + b] for f, (a, b) in PRIOR.items()}
-    for f, (a, b) in counts.items():
-        entry = merged.setdefault(f, [1, 1])
-        entry[0] += a
-        entry[1] += b
+    """Log-odds of a feature's share of what is inside and outside of articles, each kind of feature by itself."""
     totals: dict[str, list[int]] = {}
-    for f, (a, b) in merged.items():
-        total = totals.setdefault(f.split()[0], [0, 0])
+    for feature, (a, b) in counts.items():
+        total = totals.setdefault(feature.split()[0], [0, 0])
         total[0] += a
         total[1] += b
-    odds = {f: log(a / totals[f.split()[0]][0]) - log(b / totals[f.split()[0]][1]) for f, (a, b) in merged.items()}
+    odds = {}
+    for feature in {*counts, *PRIOR}:
+        kind = feature.split()[0]
+        parts = zip(counts.get(feature, (0, 0)), totals.get(kind, (0, 0)), PRIOR.get(feature, (0.0, 0.0)), strict=True)
+        inside, outside = (RARE + prior + n / max(total, 1) for n, total, prior in parts)
+        odds[feature] = max(-LIMITS[kind], min(LIMITS[kind], log(inside) - log(outside)))
     return Scores(odds)
 
 
 def labelled_counts(html: str) -> Counter | None:
-    """Words and tags by feature, in and outside of the article; None if the page doesn't say where that is."""
-    found, label = Counter(), False
-    for token in tokens(html):
+    """Words that no list sets aside and tags, by feature, in and outside of the article; None if the page doesn't say where that is."""
+    found, inside = Counter(), False
+    items, content = scanned(html)
+    if not content:
+        return None
+    for token in items:
         if isinstance(token, str):
-            name = token.lstrip("/")
-            label = label or name in CONTENT
-            if name in CONTENT:
-                depth = not token.startswith("/")
-                found["inside"] = int(depth)
-            found[f"tag {token}" if name in BLOCKS else "tag other", bool(found["inside"])] += 1
-        elif words := len(token.text.split()):
-            for feature in token.features:
-                found[feature, token.inside and not token.aside] += words
-    del found["inside"]
-    return found if label else None
+            if token.lstrip("/") in CONTENT:
+                inside = not token.startswith("/")
+            found[f"tag {token}", inside] += 1
+        elif not token.aside and (words := len(token.text.split())):
+            for feature in (section_of(token), *token.features):
+                found[feature, token.inside] += words
+    return found
 
 
 def fitted_scores(pages: DataFrame, html_col: str = "html") -> Scores:
@@ -213,9 +317,9 @@ def best_run(values: list[float]) -> tuple[int, int]:
 
 
 def main_text(html: str | None, scores: Scores) -> str:
-    items = list(tokens(html or ""))
+    items, content = scanned(html or "")
     runs = [None if isinstance(item, str) else unescape(item.text) for item in items]
-    values = [scores.tag(item) if text is None else scores.word(item) * len(text.split()) for item, text in zip(items, runs, strict=True)]
+    values = [scores.tag(item) if text is None else scores.word(item, content) * len(text.split()) for item, text in zip(items, runs, strict=True)]
     first, last = best_run(values)
     blocks: dict[int, list[str]] = {}
     for item, text in zip(items[first:last], runs[first:last], strict=True):
