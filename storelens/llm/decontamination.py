@@ -10,8 +10,12 @@ whole item, is worked out bit-parallel; a chance hit fails at the first small no
 Items are sent to the workers in blocks of at most ``BLOCK_CHARS`` characters, each with a pass over the documents, so
 that a larger benchmark needs more passes and not more memory.
 
-Defined results: null and empty documents contain nothing. Items of fewer than ``least_words`` words, null items
-among them, are too short to tell a leak from chance and are not searched. Repeated items and documents give a row each.
+Items of fewer than ``least_words`` words have no budget and count only between word borders: ``leaks`` reports them, and
+``drop_leaks`` leaves them out, since a line of a few words tells no leak from chance. In scripts written without blanks two
+characters count as a word, and a border is not asked for.
+
+Defined results: null and empty documents contain nothing. Null items and items without a letter or digit are nowhere.
+Repeated items and documents give a row each.
 Empty tables give an empty result. Other columns are not read; ``drop_leaks`` returns all columns, whatever their names.
 """
 
@@ -33,12 +37,27 @@ ERROR_RATE = 0.1
 LEAST_WORDS = 5
 BLOCK_CHARS = 1 << 22
 _WORD = re.compile(r"\w+")
+# Ranges of scripts written without blanks: Thai to Lao, Burmese, Khmer, kana, ideographs. Fixed values.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_UNSPACED_CHARACTER = re.compile(f"[{_UNSPACED}]")
+_SPACED_WORD = re.compile(rf"[^\W{_UNSPACED}]+")
 
 
 def normal(text: str | None) -> str:
     return " ".join(_WORD.findall((text or "").lower()))
 
 
+def word_count(item: str) -> int:
+    return len(_SPACED_WORD.findall(item)) + len(_UNSPACED_CHARACTER.findall(item)) // 2
+
+
+def bordered(item: str) -> tuple[int, str]:
+    """A short item with a blank at each end that must be a word border, and where the item starts in it, negated."""
+    left = "" if _UNSPACED_CHARACTER.match(item[0]) else " "
+    right = "" if _UNSPACED_CHARACTER.match(item[-1]) else " "
+    return -len(left), left + item + right
+
+
 def distances(pattern: dict[str, int], size: int, text: str, anchored: bool) -> Iterator[int]:
     """After each character of ``text``, the least edit distance of the pattern to what ends there.
 
@@ -121,9 +140,13 @@ def branches(leaves: int) -> list[list[tuple[int, int]]]:
 
 @dataclass
 class Block:
-    """Some items with their budgets, and the automaton over their pieces; built once per task."""
+    """Some items with their budgets, and the automaton over their pieces; built once per task.
+
+    Items of fewer than ``least_words`` words are one piece each, with blanks for their borders.
+    """
 
     items: list[tuple[str, int]]
+    least_words: int = 0
 
     def searcher(self):
         automaton = ahocorasick.Automaton()
@@ -133,6 +156,8 @@ class Block:
             parts = cut(item, budget + 1)
             edges = [at for at, _ in parts] + [len(item)]
             made = {}
+            if word_count(item) < self.least_words:
+                parts = [bordered(item)]
             for leaf, (at, piece) in enumerate(parts):
                 pieces.setdefault(piece, []).append((i, leaf, at))
             tree = branches(budget + 1)
@@ -158,9 +183,9 @@ class Block:
             if not pieces:
                 return {}
             starts: dict[int, set[int]] = {}
-            for end, (length, owners) in automaton.iter(text):
+            for end, (length, owners) in automaton.iter(f" {text} "):
                 for i, leaf, at in owners:
-                    start = end + 1 - length - at
+                    start = end - length - at
                     if start not in starts.get(i, ()) and verified(text, i, leaf, start):
                         starts.setdefault(i, set()).add(start)
             found = {}
@@ -203,17 +228,18 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     return (len(text) if first is None else min(first, last)), last
 
 
-def item_blocks(benchmark: DataFrame, error_rate: float, least_words: int) -> Iterator[tuple[list, Block]]:
-    """Item ids and items, block by block; only one block is on the driver at a time."""
+def item_blocks(benchmark: DataFrame, error_rate: float, least_words: int, short: bool) -> Iterator[tuple[list, Block]]:
+    """Item ids and items, block by block, those of few words if ``short``; only one block is on the driver at a time."""
     items = benchmark.select("item_id", text_of("text").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_CHARS)
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         rows = [(row.item_id, normal(row.text)) for row in rows]
-        rows = [row for row in rows if row[1].count(" ") + 1 >= least_words]
+        rows = [(i, text, int(error_rate * len(text)) if word_count(text) >= least_words else 0) for i, text in rows if text]
+        rows = [row for row in rows if short or word_count(row[1]) >= least_words]
         if rows:
-            yield [row[0] for row in rows], Block([(text, int(error_rate * len(text))) for _, text in rows])
+            yield [row[0] for row in rows], Block([row[1:] for row in rows], least_words)
 
 
 def leaks(
@@ -226,7 +252,7 @@ def leaks(
     )
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for ids, block in item_blocks(benchmark, error_rate, least_words):
+    for ids, block in item_blocks(benchmark, error_rate, least_words, short=True):
         shared = docs.sparkSession.sparkContext.broadcast((ids, block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -258,10 +284,10 @@ def pa_type(kind: T.DataType) -> pa.DataType:
 def drop_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", error_rate: float = ERROR_RATE, least_words: int = LEAST_WORDS
 ) -> DataFrame:
-    """The rows without any benchmark item, with all their columns, settled where they are read."""
+    """The rows without any benchmark item of ``least_words`` words or more, with all their columns, settled where they are read."""
     frame = packed(docs).select("whole", F.col(f"whole.`{text_col}`").alias("text"))
     schema = frame.schema
-    for _, block in item_blocks(benchmark, error_rate, least_words):
+    for _, block in item_blocks(benchmark, error_rate, least_words, short=False):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

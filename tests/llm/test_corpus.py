@@ -399,6 +399,49 @@ def test_leaks(spark):
     assert sorted(r[0] for r in collected(kept)) == [1, 2, 3, 6] and kept.columns[2] == "digest"
 
 
+def test_short_items(spark):
+    """Reported where they stand between word borders, without errors; they drop nothing."""
+    items = [(0, "Answer: forty two"), (1, "两点之间什么最短?"), (2, "?!"), (3, "水的化学式"), (4, "two")]
+    rows = [(0, "the answer forty  TWO, said they"), (1, "answer forty twos"), (2, "问:两点之间什么最短?答:线段。"), (3, "氢气和水的化学式子"), (4, "the answer forty tw"), (5, "two")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(i, item): (distance, budget, rows[i][1][start:stop]) for i, item, distance, budget, start, stop in collected(decontamination.leaks(documents(spark, rows), benchmark, least_words=4))}
+    assert got == {(0, 0): (0, 0, "answer forty  TWO"), (0, 4): (0, 0, "TWO"), (2, 1): (0, 0, "两点之间什么最短"), (3, 3): (0, 0, "水的化学式"), (5, 4): (0, 0, "two")}
+    assert sorted(r[0] for r in collected(decontamination.drop_leaks(documents(spark, rows), benchmark, least_words=4))) == [0, 1, 3, 4, 5]
+
+
+def test_all_items_within_budget(spark):
+    """Every item and document of a small set, against the edit distance of the item to every part of the document."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 6)))
+    items = [" ".join(word() for _ in range(rng.randint(1, 9))) for _ in range(14)]
+    items.append(items[0])
+    texts = []
+    for _ in range(90):
+        planted = list(" ".join([word(), rng.choice(items), word()]))
+        for _ in range(rng.randint(0, 5)):
+            planted[rng.randrange(len(planted))] = rng.choice(["", "a", "zz"])
+        texts.append("".join(planted))
+    texts += ["", texts[0]]
+    found = decontamination.leaks(documents(spark, list(enumerate(texts))), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    expected = set()
+    for d, text in enumerate(texts):
+        text = decontamination.normal(text)
+        for i, item in enumerate(items):
+            if len(item.split()) < 5:
+                if f" {item} " in f" {text} ":
+                    expected.add((d, i, 0))
+                continue
+            distance, above = len(item), list(range(len(item) + 1))
+            for character in text:  # least distance of the item to a part that ends here
+                row = [0]
+                for k, wanted in enumerate(item):
+                    row.append(min(above[k] + (wanted != character), above[k + 1] + 1, row[k] + 1))
+                above, distance = row, min(distance, row[-1])
+            if distance <= int(decontamination.ERROR_RATE * len(item)):
+                expected.add((d, i, distance))
+    assert {r[:3] for r in collected(found)} == expected and len(expected) > 20
+
+
 def test_bit_parallel_distance():
     rng = random.Random(3)
     for _ in range(60):
@@ -457,6 +500,57 @@ def test_main_text(spark):
     assert all(n == len(t) for _, _, t, n in got)
 
 
+FOX = "One fine day a quick fox went out and came home."
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article><div>{FOX}</div></article>", FOX),
+        (f"<body><div>{FOX}</div></body>", FOX),
+        (f"<body class='has-sidebar'><article><p>{FOX}</p></article></body>", FOX),
+        (f'<div class="content-with-sidebar"><article><p>{FOX}</p></article></div>', FOX),
+        (f"<div class='menu-wrap'><nav>menu</nav><article><p>{FOX}</p></article></div>", FOX),
+        (f'<article><div class="entry share-wrap"><p>{FOX}</p></div></article>', FOX),
+        (f"<form id=aspnetForm><nav><a href=x>menu</a></nav><article><p>{FOX}</p></article></form>", FOX),
+        (f"<form id=aspnetForm><nav><a href=x>menu</a></nav><div><p>{FOX}</p></div></form>", FOX),
+        (f'<article><p><a title="5" screen">x</a> {FOX}</p></article>', f"x {FOX}"),
+        (f"<article><img alt=don't><p>{FOX}</p></article>", FOX),
+        (f"<article><p title='a>b'>{FOX}</p></article>", FOX),
+        (f"<article data-id='menu' title='class=ad'><p>{FOX}</p></article>", FOX),
+        (f"<article><p>{FOX}</p></article><section class='replies'><p>I agree with all of that.</p></section>", FOX),
+        (f"<article><p>{FOX}</p></article><section><p>I agree with all of that.</p></section>", FOX),
+        (f"<article><h1 class='page-header'>Head</h1><p>{FOX}</p></article>", f"Head {FOX}"),
+        (f"<article><header><h1>Head</h1><p>by me</p></header><p>{FOX}</p></article>", f"Head {FOX}"),
+        (f"<div id=comments><article>Nice one.</article></div><div><p>{FOX}</p></div>", FOX),
+        (f"<div class=sidebar><article>Read this too.</article></div><article><p>{FOX}</p></article>", FOX),
+        ("<div class='ad'>buy now</div><nav><a href=x>menu</a></nav>", ""),
+        ("<form><label>name</label><p>Type your name.</p></form>", ""),
+    ],
+)
+def test_frames_and_hints(html, text):
+    """With the prior shares, and with those of pages that put nothing but their articles in paragraphs."""
+    page = f"<body><nav><ul><li><a href=x>menu</a></ul></nav><div class=ad>buy now</div><article><h1>Head</h1><p>{FOX}</p></article></body>"
+    counts: dict[str, list[int]] = {}
+    for (feature, inside), n in extraction.labelled_counts(page).items():
+        counts.setdefault(feature, [0, 0])[0 if inside else 1] += 1000 * n
+    for scores in (extraction.scores_of({}), extraction.scores_of(counts)):
+        assert extraction.main_text(html, scores) == text
+
+
+def test_deep_and_long_pages():
+    """Time grows with the page, however its elements nest."""
+    n, scores = 30_000, extraction.scores_of({})
+    assert len(extraction.main_text("<article>" + "<div>word " * n, scores).split()) == n
+    assert len(extraction.main_text("<article>" + "<b>word " * n + "<p>word " * n, scores).split()) == 2 * n
+    assert extraction.main_text("<div class=sidebar>word " * n + "</b>" * n, scores) == ""
+
+
+def test_pages_with_other_columns(spark):
+    frame = spark.createDataFrame([(1, "u", f"<p>{FOX}</p>", "x", 2), (1, None, f"<p>{FOX}</p>", "x", 2)], "page_id long, url string, html string, text string, n_chars int")
+    assert set(collected(extraction.extracted(frame))) == {(1, "u", FOX, len(FOX)), (1, None, FOX, len(FOX))}
+
+
 def test_best_run():
     rng = random.Random(6)
     for _ in range(100):
