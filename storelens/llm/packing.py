@@ -49,7 +49,8 @@ class WordIds(dict):
     """Ids of words, as little-endian 32-bit numbers, worked out when first asked for.
 
     For tokenizers that ignore case and whose tokens never reach across white space, nor from a letter or digit to a
-    mark that follows it: a word's ids are those of its lower-case stem and then those of its closing marks.
+    mark that follows it: a word's ids are those of its lower-case stem and then those of its closing marks. A word of
+    small ASCII letters is left as it is by the tokenizer's first steps, so that its model is asked directly.
     """
 
     MARKS = b".,;:!?*#$%&|()[]{}+=/-"
@@ -57,6 +58,7 @@ class WordIds(dict):
     def __init__(self, path: str, remembered: int = REMEMBERED):
         super().__init__()
         self.tokenizer = loaded(path)
+        self.model = self.tokenizer.model
         self.remembered = remembered
 
     def __missing__(self, word: bytes) -> bytes:
@@ -65,7 +67,10 @@ class WordIds(dict):
         if stem and plain != word and stem.decode()[-1].isalnum():
             marks = word[len(stem) :]
             return self[plain] + self[marks] if marks else self[plain]
-        ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        if word.isalpha() and word.islower():
+            ids = array("I", [token.id for token in self.model.tokenize(word.decode())])
+        else:
+            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
         if sys.byteorder == "big":
             ids.byteswap()
         if len(self) >= self.remembered:
