@@ -24,6 +24,7 @@ are not read.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,21 +141,22 @@ def segments(texts: DataFrame, counts: DataFrame, length: int) -> DataFrame:
     fields += [T.StructField(n, T.LongType()) for n in ("first", "key", "seg_a", "seg_b", "copies")] + [T.StructField("words", T.BinaryType())]
     names = [f.name for f in fields]
 
-    def cuts(words: list[bytes], table: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Shard key, first window and number of windows."""
+    def cuts(words: list[bytes], table: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shard keys, first windows and numbers of windows."""
         hashes = word_hashes(words)
         anchors, firsts, many = runs(hashes, length)
         keep = in_filter(table, anchors)
         anchors, firsts, many = anchors[keep], firsts[keep], many[keep]
         at = np.searchsorted(hot, anchors)
         is_hot = hot[np.minimum(at, len(hot) - 1)] == anchors if len(hot) else np.zeros(len(anchors), bool)
-        yield from zip(anchors[~is_hot].view(np.int64).tolist(), firsts[~is_hot].tolist(), many[~is_hot].tolist(), strict=True)
         if is_hot.any():
             size = min(ANCHOR, length)
             parts = part_hashes(hashes, size)
             every = np.concatenate([np.arange(a, a + n) for a, n in zip(firsts[is_hot], many[is_hot], strict=True)])
             own = (np.repeat(anchors[is_hot], many[is_hot]) * _STEP + parts[every]) * _STEP + parts[every + length - size]
-            yield from ((k, f, 1) for k, f in zip(own.view(np.int64).tolist(), every.tolist(), strict=True))
+            anchors, firsts = np.append(anchors[~is_hot], own), np.append(firsts[~is_hot], every)
+            many = np.append(many[~is_hot], np.ones_like(every))
+        return anchors.view(np.int64), firsts, many
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hot = shared.value
@@ -166,10 +168,12 @@ def segments(texts: DataFrame, counts: DataFrame, length: int) -> DataFrame:
                     continue
                 joined = b" ".join(words)
                 ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-                starts = np.concatenate([[0], ends[:-1] + 1])
-                for key, first, many in cuts(words, table, hot):
-                    text = joined[starts[first] : ends[first + many + length - 2]]
-                    a, b = np.frombuffer(hashlib.md5(text).digest(), "<i8").tolist()
+                starts = np.append(0, ends[:-1] + 1)
+                keys, firsts, many = cuts(words, table, hot)
+                edges = zip(starts[firsts].tolist(), ends[firsts + many + length - 2].tolist(), strict=True)
+                for key, first, (low, high) in zip(keys.tolist(), firsts.tolist(), edges, strict=True):
+                    text = joined[low:high]
+                    a, b = struct.unpack("<qq", hashlib.md5(text, usedforsecurity=False).digest())
                     which.append(row)
                     rows.append((first, key, a, b))
                     entry = seen.get((key, a, b))
@@ -215,21 +219,25 @@ class WaveletMatrix:
             self.before.append(np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]]).astype(np.int32))
             self.zeros.append(int(len(bit) - bit.sum()))
             symbols = np.concatenate([symbols[bit == 0], symbols[bit == 1]])
+        every = np.arange(1 << bits, dtype=np.int64)
+        self.starts = self.moved(every, np.zeros_like(every))
 
     def ones(self, level: int, place: np.ndarray) -> np.ndarray:
         cell = place >> 6
         below = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
         return self.before[level][cell] + np.bitwise_count(self.words[level][cell] & below)
 
-    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """How often ``symbol`` stands before ``place``."""
-        first = np.zeros_like(place)
+    def moved(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Where ``place`` comes to lie on the last level, on the way of ``symbol``."""
         for level in range(self.bits):
             bit = (symbol >> (self.bits - 1 - level)) & 1 == 1
-            a, b = self.ones(level, first), self.ones(level, place)
-            first = np.where(bit, self.zeros[level] + a, first - a)
-            place = np.where(bit, self.zeros[level] + b, place - b)
-        return place - first
+            ones = self.ones(level, place)
+            place = np.where(bit, self.zeros[level] + ones, place - ones)
+        return place
+
+    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """How often ``symbol`` stands before ``place``."""
+        return self.moved(symbol, place) - self.starts[symbol]
 
 
 class Index:
@@ -237,16 +245,22 @@ class Index:
 
     def __init__(self, symbols: np.ndarray, weights: np.ndarray, length: int):
         size = len(symbols)
-        rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-        depth, at_length = 1, None
+        top = int(symbols.max(initial=0)) + 1
+        # As many symbols as one number holds are compared at first, then twice as many each time.
+        width = max(1, int(top).bit_length())
+        depth, at_length = max(1, min(62 // width, length)), None
+        keys = np.zeros(size, np.int64)
+        for i in range(depth):
+            keys <<= width
+            keys[: max(size - i, 0)] |= symbols[i:]
+        rank, order = self.ranked(keys)
         while True:
             if 2 * depth > length and at_length is None:
-                at_length = self.joint(rank, length - depth)
+                at_length = self.joint(rank, length - depth)[0]
             if depth > length:
                 break
-            rank = self.joint(rank, depth)
+            rank, order = self.joint(rank, depth)
             depth *= 2
-        order = np.argsort(rank, kind="stable")
         self.length = length
         self.cumulated = np.concatenate([[0], np.cumsum(weights[order])])
         group = at_length[order]
@@ -255,23 +269,26 @@ class Index:
         self.group[:size] = np.cumsum(np.diff(group, prepend=group[:1] - 1) != 0) - 1
         self.borders = np.append(new, size)
         last = symbols[order - 1]
-        top = int(symbols.max(initial=0)) + 1
         self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=top))])
-        self.matrix = WaveletMatrix(last, max(1, int(top).bit_length()))
+        self.matrix = WaveletMatrix(last, width)
 
     @staticmethod
-    def joint(rank: np.ndarray, depth: int) -> np.ndarray:
-        """Ranks by the first symbols and those ``depth`` further on."""
+    def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Dense ranks of keys, and the places in their order."""
+        order = np.argsort(keys)
+        ordered = keys[order]
+        rank = np.empty_like(keys)
+        rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
+        return rank, order
+
+    @classmethod
+    def joint(cls, rank: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks by the first symbols and those ``depth`` further on, and the places in their order."""
         if not depth:
-            return rank
+            return rank, np.argsort(rank)
         after = np.zeros_like(rank)
         after[:-depth] = rank[depth:] + 1
-        keys = rank * (len(rank) + 2) + after
-        order = np.argsort(keys)
-        ordered = keys[order]
-        new = np.empty_like(rank)
-        new[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
-        return new
+        return cls.ranked(rank * (len(rank) + 2) + after)
 
     def extended(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of the patterns with one more symbol in front."""
