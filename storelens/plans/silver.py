@@ -26,7 +26,12 @@ def orders(bronze: DataFrame) -> DataFrame:
 
 
 def order_items(bronze: DataFrame) -> DataFrame:
-    return latest(bronze, ["order_id", "order_item_id"]).select(
+    return typed_items(latest(bronze, ["order_id", "order_item_id"]))
+
+
+def typed_items(rows: DataFrame) -> DataFrame:
+    """The silver columns of items that are one row per key already, as a table of latest rows holds them."""
+    return rows.select(
         "order_id",
         F.col("order_item_id").cast("int").alias("order_item_id"),
         "product_id",

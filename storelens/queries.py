@@ -161,7 +161,7 @@ def incremental_upsert(spark: SparkSession, root: str) -> DataFrame:
     keys = ["order_id", "order_item_id"]
     upsert(delta_since(items, middle), target, keys, staging, buckets=16)
     upsert(items.where(F.col("_ingested_at") <= F.lit(middle)), target, keys, staging, buckets=16)
-    return silver.order_items(spark.read.schema(items.schema).parquet(target))
+    return silver.typed_items(spark.read.schema(items.schema).parquet(target))
 
 
 def _merged_items(spark: SparkSession, items: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def _merged_items(spark: SparkSession, items: DataFrame) -> DataFrame:
     quarter = F.pmod(F.xxhash64("order_id", "_ingested_at"), F.lit(4))
     for n in (2, 0, 3, 1):
         table.merge(items.where(quarter == n), n)
-    return silver.order_items(table.read())
+    return silver.typed_items(table.read())
 
 
 def incremental_deltas(spark: SparkSession, root: str) -> DataFrame:
@@ -203,7 +203,7 @@ def stream_upsert_items(spark: SparkSession, root: str) -> DataFrame:
     target, checkpoint = _scratch(spark, "items"), _scratch(spark, "stream")
     mapped = testviews.order_items_of(arriving)
     stream_upsert(mapped, target, ["order_id", "order_item_id"], checkpoint, buckets=16).awaitTermination()
-    return silver.order_items(spark.read.parquet(target).drop(BUCKET))
+    return silver.typed_items(spark.read.parquet(target).drop(BUCKET))
 
 
 def gmv_by_delivered_month(w: Warehouse) -> DataFrame:

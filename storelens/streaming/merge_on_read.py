@@ -47,7 +47,7 @@ class LatestTable:
         if name is not None and any(p["batch"] == name for p in parts):
             return False
         folder = self._versions.begin()
-        if not self._write(self._latest(batch), f"{folder}/rows"):
+        if not self._write(self._latest(batch).repartitionByRange(*self.keys), f"{folder}/rows"):
             return False
         kind = "delta" if parts else "base"
         self._publish(live, folder, [*parts, self._part(kind, f"{folder}/rows", name)])
@@ -63,7 +63,7 @@ class LatestTable:
         if len([p for p in parts if p["path"]]) < 2:
             return
         folder = self._versions.begin()
-        self._write(self._rows(parts), f"{folder}/rows")
+        self._write(self._merged(parts), f"{folder}/rows")
         merged = [{"kind": "merged", "path": "", "batch": p["batch"], "bytes": 0} for p in parts if p["batch"] is not None]
         self._publish(live, folder, [self._part("base", f"{folder}/rows", None), *merged])
 
@@ -100,9 +100,9 @@ class LatestTable:
         self._versions.publish(folder)
 
     def _write(self, rows: DataFrame, path: str) -> bool:
-        """Files in the order of the key, as many as AQE finds right; false if there is no row."""
+        """Rows that lie in ranges of the key, as files in its order, as many as AQE finds right; false if there is no row."""
         key = self.keys[0]
-        placed = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+        placed = rows.sortWithinPartitions(*self.keys)
         # Adaptive: the filter of a small file is small.
         filtered = placed.write.option(f"parquet.bloom.filter.enabled#{key}", "true")
         filtered.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
@@ -111,6 +111,15 @@ class LatestTable:
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest(rows, self.keys, self.order, tie=[c for c in rows.columns if c not in self.keys])
 
+    def _merged(self, parts: list[dict]) -> DataFrame:
+        """All rows in ranges of the key, by one shuffle: the ranges keep the rows of a key together, so the latest is chosen there.
+
+        A part has one row per key at most, so a key has no more rows than there are parts.
+        """
+        held = self.spark.read.parquet(*[p["path"] for p in parts if p["kind"] == "base"])
+        added = self.spark.read.schema(held.schema).parquet(*[p["path"] for p in parts if p["kind"] == "delta"])
+        return self._latest(held.unionByName(added).repartitionByRange(*self.keys)).select(*held.columns)
+
     def _rows(self, parts: list[dict], chosen: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
         base = [p["path"] for p in parts if p["kind"] == "base"]
         deltas = [p["path"] for p in parts if p["kind"] == "delta"]

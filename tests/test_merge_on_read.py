@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import itertools
 import random
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from storelens.operators import latest
+from storelens.plans import silver
 from storelens.streaming import merge_on_read
 from storelens.streaming.merge_on_read import LatestTable, stream_latest
 from tests.conftest import plan_of, values
@@ -124,3 +126,38 @@ def test_stream_of_deltas(spark, tmp_path):
     before = folder_files(table.root)
     stream_latest(spark.readStream.schema(SCHEMA).parquet(str(source)), table, checkpoint).awaitTermination()
     assert folder_files(table.root) == before
+
+
+def test_a_new_base_takes_one_shuffle(spark, tmp_path):
+    """Rows of the base and of the deltas are placed once, in the ranges in which they are written."""
+    table = LatestTable(spark, str(tmp_path), ["id", "part"])
+    for n in range(3):
+        rows = [(i, i % 3, datetime(2024, 1, 1, 0, n), f"v{n}") for i in range(0, 400 if n == 0 else 40, n + 1)]
+        table._publish(*listed(table, spark.createDataFrame(rows, SCHEMA), n))
+    before = values(table.read())
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        plan = plan_of(table._merged(table._state()[1]))
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange") == 1
+    table.compact()
+    assert values(table.read()) == before and table.delta_bytes() == 0
+
+
+def listed(table, rows, n):
+    """A part that is written without the compaction that would follow it."""
+    live, parts = table._state()
+    folder = table._versions.begin()
+    rows.repartitionByRange("id", "part").sortWithinPartitions("id", "part").write.parquet(f"{folder}/rows")
+    return live, folder, [*parts, table._part("delta" if parts else "base", f"{folder}/rows", str(n))]
+
+
+def test_items_of_a_merged_table_are_not_sorted_out_again(spark, tmp_path):
+    lines = "select 1L order_id, 1 order_item_id, 5L product_id, 6L seller_id, timestamp_ntz'2024-01-09' shipping_limit_date, 1.5 price, 0.5 freight_value"
+    rows = spark.sql(f"{lines}, timestamp_ntz'2024-01-01' _ingested_at")
+    assert values(silver.typed_items(rows)) == values(silver.order_items(rows))
+    assert "Window" not in plan_of(silver.typed_items(rows)) and "Window" in plan_of(silver.order_items(rows))
