@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storelens.operators import latest
 from storelens.schemas import RAW
-from storelens.session import path_exists, remove_path
+from storelens.session import COMPRESSION, path_exists, remove_path
 from storelens.sources.csv import CSV_OPTIONS, MULTI_LINE
 
 BUCKET = "_bucket"
@@ -80,7 +80,7 @@ def merge_batch(
     merged, taken = f"{staging}/{batch_id}", f"{staging}/{batch_id}-rows"
     rows = batch.withColumn(BUCKET, bucket_of(keys, buckets))
     if not path_exists(spark, f"{merged}/_SUCCESS"):
-        rows.write.mode("overwrite").parquet(taken)
+        rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(taken)
         fixed = spark.read.schema(rows.schema).parquet(taken)
         # At most ``buckets`` numbers; as literals they prune the folders that are read.
         touched = [r[0] for r in fixed.select(BUCKET).distinct().collect()]
@@ -90,13 +90,14 @@ def merge_batch(
         placed = survivors.hint("rebalance", F.col(BUCKET))
         # The mark of a complete merge, also where the cluster's default leaves it out.
         marked = placed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        marked.mode("overwrite").partitionBy(BUCKET).parquet(merged)
+        marked.mode("overwrite").option("compression", COMPRESSION).partitionBy(BUCKET).parquet(merged)
         remove_path(spark, taken)
     (
         spark.read.schema(rows.schema)
         .parquet(merged)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", COMPRESSION)
         .partitionBy(BUCKET)
         .parquet(target)
     )
