@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from storelens.plans import gold, silver
 from storelens.plans.versions import Versions
 from storelens.schemas import GOLD, SILVER
-from storelens.session import path_exists, staging_area
+from storelens.session import COMPRESSION, path_exists, staging_area
 
 # Written beside the gold tables for the facts to share; not part of the star.
 HEADER = "_order_header"
@@ -25,7 +25,7 @@ class Warehouse:
     """Silver and gold under ``root``, as Parquet.
 
     A table is written when it is first asked for, together with what it depends on, and read from then
-    on. Nothing is taken over from an earlier run: ``root`` belongs to one build, and no table in it is written twice. Orders
+    on; a silver table that only one gold table reads is planned into that one, unless it is written already. Nothing is taken over from an earlier run: ``root`` belongs to one build, and no table in it is written twice. Orders
     bought outside ``bounds`` would drop out of what joins the calendar; they fail the build of the facts. Facts lie in folders by purchase
     year and month; ``partitioned=False`` keeps the two columns in the files, for a shop whose months are small.
     """
@@ -63,7 +63,7 @@ class Warehouse:
 
     def gold_plan(self, name: str) -> DataFrame:
         """The plan of a gold table over the written tables below it."""
-        s, g = self.silver, self.gold
+        s, g, alone = self.silver, self.gold, self._silver_rows
         match name:
             case "DimDate":
                 return gold.dim_date(self._bounds)
@@ -72,23 +72,28 @@ class Warehouse:
             case "_bridge_customer":
                 return gold.bridge_customer(s("customers"), g("DimCustomer"))
             case "DimProduct":
-                return gold.dim_product(s("products"))
+                return gold.dim_product(alone("products"))
             case "DimSeller":
                 return gold.dim_seller(s("sellers"))
             case "DimGeography":
                 return gold.dim_geography(s("customers"), s("sellers"), self._regions)
             case "_order_header":
-                return gold.within(gold.order_header(s("orders"), g("_bridge_customer")), self._bounds)
+                return gold.within(gold.order_header(alone("orders"), g("_bridge_customer")), self._bounds)
             case gold.ORDER_NUMBERS:
                 return gold.order_numbers(g(HEADER))
             case "FactOrderItems":
-                return gold.fact_order_items(s("order_items"), g(HEADER), g("DimProduct"), g("DimSeller"))
+                self._together(g, (HEADER, "DimProduct", "DimSeller"))
+                return gold.fact_order_items(alone("order_items"), g(HEADER), g("DimProduct"), g("DimSeller"))
             case "FactPayments":
-                return gold.fact_payments(s("order_payments"), g(HEADER))
+                return gold.fact_payments(alone("order_payments"), g(HEADER))
             case "FactReviews":
-                return gold.fact_reviews(s("order_reviews"), g(HEADER))
+                return gold.fact_reviews(alone("order_reviews"), g(HEADER))
         raise KeyError(name)
 
+    def _silver_rows(self, name: str) -> DataFrame:
+        """A silver table for its only reader: as written, or else as a plan."""
+        return self.silver(name) if ("silver", name) in self._tables else silver.build(name, self.bronze)
+
     def build_silver(self) -> None:
         self._together(self.silver, SILVER)
 
@@ -119,9 +124,9 @@ class Warehouse:
         if name in FACTS and self.partitioned:
             # AQE sizes the write tasks: small months share one, a large month is split.
             placed = df.hint("rebalance", *[F.col(c) for c in gold.FACT_PARTITIONS])
-            placed.write.mode("overwrite").partitionBy(*gold.FACT_PARTITIONS).parquet(path)
+            placed.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*gold.FACT_PARTITIONS).parquet(path)
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
