@@ -1,24 +1,25 @@
-"""Log-probabilities of texts under a model learned from the training part of the corpus.
+"""Log-probabilities of texts under a model learned from the training part of the corpus: logistic context mixing.
 
 A text is its kind, its lower-case words and an end. Its kind is a small number: its most frequent character beyond ASCII,
-which tells languages apart, and whether many of its words end in symbols. A word comes from the words of training
-texts of that kind, or else from those of all, or else it is spelled:
-
-    P(word) = own * count_of_kind / words_of_kind + (1 - own) * (known * count / words, or (1 - known) * P(spelling) if it has no count),
-
-where ``own`` and ``known`` leave what follows the share that words seen once have (the Good-Turing estimate). Words that
-a text has used already become likelier in it: after t words the chance is that of an urn with t words and
-``mu`` more drawn as above; several ``mu`` are averaged. The spelling model is logistic context mixing over bits: a word's
-bytes and its end are coded bit by bit, each bit predicted from counts in hashed contexts (the kind of text and
-the bytes before it in the word, the last 1, 2, 3, 5 or all of these), the predictions combined in the
-logistic domain by weights that a gate selects (how many contexts are known, and the place in the byte), and the result
-refined by an adaptive map from the byte before and the mixed prediction. Weights and map learn online: each
-block of words is predicted before it is learned, with the word's own share taken out of the counts. Where a text ends
-depends on its length so far.
-
-Counts come from all training words, each different word counted once for spelling. The tables have fixed sizes: workers
-fill their own, and these are added up block by block. To find the counts of its words, a worker asks once per word
-and chunk of documents, not once per occurrence; the answers come back to the chunk, where texts are scored.
+which tells languages apart, and whether many of its words end in symbols. Every word is coded as a path of binary
+decisions: a Huffman code of its class, which is the number of binary digits of its training count, then its number within the
+class. A word without a training count is a class of its own; its bytes follow. Each decision is predicted from counts in
+contexts: the path so far after the kind of text, after the word before and after the two words before (hashed), and what
+the word that came last time after the same word of this text would decide. Predictions are combined in the logistic domain by
+weights that a gate selects (how many contexts are known, whether a word is expected, the depth), and the result is refined
+by an adaptive map from the first decisions and the mixed prediction. Weights and map learn online: each block of words
+is predicted before it is learned. Half of the words seen once are learned as words without a count, as
+held-out texts meet such words about as often as training texts meet words seen once (the Good-Turing estimate).
+
+The spelling model is of the same make: a word's bytes and its end are coded bit by bit, each bit predicted from counts in
+hashed contexts (the kind of text and the bytes before it in the word, the last 1, 2, 3, 5 or all of these). Its counts
+come from all different training words of a kind, each counted once, and are full before weights and map learn, with the word's own share
+taken out. A word without a count that its text has spelled already is drawn from an urn of such words. Where a text
+ends depends on its length so far.
+
+Words are counted in one shuffle by hash bucket: a chunk of documents sends a row per bucket with its different words, and gets
+back a row with their counts and numbers. At most ``LEARNERS`` tasks read the training texts, each with tables of its own, which are
+added up block by block. Tables of word contexts have at least four slots per training word up to ``WORD_SLOTS`` a context; beyond, contexts share slots.
 
 Defined results: null and empty texts are the end alone. The id's text decides what is held out; a null id counts as the
 empty string and so belongs to training. Repeated rows are counted and scored each. Without training rows spelling
@@ -27,8 +28,8 @@ knows nothing and gives each bit one half. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import heapq
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import log10
@@ -46,8 +47,14 @@ FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 1 << 25
 ORDERS = (1, 2, 3, 5, 0)  # bytes of context; 0 stands for the kind of text and all bytes of the word so far
 KINDS = 32
-URNS = (30.0, 300.0, 3000.0, 1e9)
-_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]")
+URN = 30.0
+WORD_BUCKETS = 512
+CLASSES = 64
+CONTEXTS = 4  # of a word's decisions: kind of text, the word before, the two words before, the word expected
+WORD_SLOTS = 1 << 20
+WORD_GATES = 16 * 8
+LEARNERS = 12
+GROUP_WORDS = 1 << 18
 _SYMBOLS = frozenset(b"!#$%&*+/<=>?@\\^_`|~")
 SLOTS = 1 << 21
 SLOT_BLOCK = 1 << 14
@@ -55,6 +62,7 @@ GATES = (len(ORDERS) + 1) * 8
 BUCKETS = 33
 BLOCK_WORDS = 4000
 LEARN_WORDS = 1000
+PATH_WORDS = 2048
 RATE = 0.1
 SOFT = 0.4
 _WORD_END = 0x20
@@ -65,83 +73,167 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")) % FOLDS == HELD_OUT
 
 
-def text_kind(text: str, words: Counter, total: int) -> int:
-    """Which of ``KINDS`` kinds a text belongs to."""
-    beyond = Counter() if text.isascii() else Counter(_BEYOND_ASCII.findall(text.lower()))
-    most = min(beyond, key=lambda c: (-beyond[c], c)) if beyond else None
-    marked = sum(n for word, n in words.items() if word[-1] in _SYMBOLS)
-    return 2 * (1 + ord(most) % (KINDS // 2 - 1) if most else 0) + (4 * marked > total)
+def text_kind(text: str, marked: int, total: int) -> int:
+    """Which of ``KINDS`` kinds a text belongs to, of whose words so many end in symbols."""
+    script = 0
+    if not text.isascii():
+        points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+        different, many = np.unique(points[points > 127], return_counts=True)
+        if len(many):
+            script = 1 + int(different[many.argmax()]) % (KINDS // 2 - 1)
+    return 2 * script + (4 * marked > total)
 
 
 # ---------------------------------------------------------------- chunks of documents
 
 
+class Numbers(dict):
+    """Numbers for words, in the order of their first use, and whether they end in symbols."""
+
+    def __init__(self):
+        super().__init__()
+        self.marked = bytearray()
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.marked.append(word[-1] in _SYMBOLS)
+        return number
+
+
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    return np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)]) if size > len(values) else values
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, the lowest of all first: a third to a half of their size."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True) if raw else b""
+
+
+def unpacked(part: bytes, dtype: type) -> np.ndarray:
+    if not part:
+        return np.empty(0, dtype)
+    raw = pa.decompress(part[8:], int.from_bytes(part[:8], "little"), "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    return packed(np.frombuffer(b" ".join(words), np.uint8))
+
+
+def unpacked_words(part: bytes) -> list[bytes]:
+    return unpacked(part, np.uint8).tobytes().split(b" ")
+
+
 def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Written once: per document its different words, as numbers within its chunk, with their counts; and per chunk and
-    word a row with the word and its count in training texts."""
+    """Written once: per document its words, as numbers within its chunk; and per chunk and bucket of words a row with the
+    words, their numbers, their counts in training texts and the kinds of these (a bit each)."""
     fields = [("chunk", T.LongType()), ("doc_id", docs.schema[id_col].dataType), ("held_out", T.BooleanType()), ("n_words", T.LongType()), ("n_bytes", T.LongType())]
-    fields += [("kind", T.IntegerType()), ("ids", T.BinaryType()), ("counts", T.BinaryType())]
-    fields += [("number", T.IntegerType()), ("word", T.BinaryType()), ("train", T.LongType())]
+    fields += [("kind", T.IntegerType()), ("ids", T.BinaryType()), ("bucket", T.IntegerType())]
+    fields += [(n, T.BinaryType()) for n in ("numbers", "words", "train", "kinds")]
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, numbers, train, size = TaskContext.get().partitionId() << 32, [{} for _ in range(KINDS)], np.zeros(1 << 16, np.int64), 0
-        known = 0
+        chunk, numbers, size = TaskContext.get().partitionId() << 32, Numbers(), 0
+        train, kinds, ids_type = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.uint32), None
         for batch in batches:
-            which, rows = [], []
-            for row, (out, value) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
-                plain = value.as_py() or ""
-                text = plain.encode()
-                words = text.lower().split()
-                counts = Counter(words)
-                kind = text_kind(plain, counts, len(words))
-                own = numbers[kind]
-                for word in counts:
-                    if word not in own:
-                        own[word] = known
-                        known += 1
-                ids = np.fromiter(map(own.__getitem__, counts), np.uint32, len(counts))
-                many = np.fromiter(counts.values(), np.uint32, len(counts))
-                while known > len(train):
-                    train = np.concatenate([train, np.zeros_like(train)])
-                if not out:
-                    train[ids] += many
-                which.append(row)
-                rows.append((chunk, out, len(words), len(text), kind, ids.tobytes(), many.tobytes()))
-                size += len(text)
+            ids_type, at = batch.column(0).type, 0
+            while at < batch.num_rows:
+                first, texts, ids = at, [], []
+                while at < batch.num_rows and size < CHUNK_BYTES:
+                    plain = batch.column(2)[at].as_py() or ""
+                    text = plain.encode()
+                    words = text.lower().split()
+                    ids.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+                    texts.append((plain, len(text)))
+                    size += len(text)
+                    at += 1
+                marked, rows = np.frombuffer(bytes(numbers.marked), np.uint8), []
+                train, kinds = grown(train, len(numbers)), grown(kinds, len(numbers))
+                out = batch.column(1).slice(first, at - first)
+                for (plain, n_bytes), own, held in zip(texts, ids, out.to_pylist(), strict=True):
+                    kind = text_kind(plain, int(marked[own].sum()), len(own))
+                    if not held:
+                        kinds[own] |= np.uint32(1 << kind)
+                    rows.append((chunk, len(own), n_bytes, kind, packed(own)))
+                learned = [own for own, held in zip(ids, out.to_pylist(), strict=True) if not held]
+                train[: len(numbers)] += np.bincount(np.concatenate([np.empty(0, np.uint32), *learned]), minlength=len(numbers))
+                own, words, n_bytes, kind, parts = zip(*rows, strict=True)
+                columns = [pa.array(own, pa.int64()), batch.column(0).slice(first, at - first), out, pa.array(words, pa.int64()), pa.array(n_bytes, pa.int64())]
+                columns += [pa.array(kind, pa.int32()), pa.array(parts, pa.binary()), pa.nulls(len(rows), pa.int32()), *(pa.nulls(len(rows), pa.binary()) for _ in range(4))]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 if size >= CHUNK_BYTES:
-                    yield documents(batch, which, rows)
-                    yield from vocabulary(batch, chunk, numbers, train)
-                    which, rows = [], []
-                    chunk, numbers, size, known = chunk + 1, [{} for _ in range(KINDS)], 0, 0
-                    train[:] = 0
-            if rows:
-                yield documents(batch, which, rows)
-        if known:
-            yield from vocabulary(batch, chunk, numbers, train)
-
-    def documents(batch: pa.RecordBatch, which: list[int], rows: list[tuple]) -> pa.RecordBatch:
-        chunk, out, words, size, kinds, ids, counts = zip(*rows, strict=True)
+                    yield vocabulary(ids_type, chunk, numbers, train, kinds)
+                    chunk, numbers, size = chunk + 1, Numbers(), 0
+                    train[:], kinds[:] = 0, 0
+        if numbers:
+            yield vocabulary(ids_type, chunk, numbers, train, kinds)
+
+    def vocabulary(ids_type: pa.DataType, chunk: int, numbers: Numbers, train: np.ndarray, kinds: np.ndarray) -> pa.RecordBatch:
+        words = list(numbers)
+        buckets = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % WORD_BUCKETS
+        order = np.argsort(buckets, kind="stable")
+        cuts = np.flatnonzero(np.diff(buckets[order], prepend=WORD_BUCKETS))
+        rows = [(int(buckets[part[0]]), packed(part.astype(np.uint32)), packed_words([words[i] for i in part]), packed(train[part].astype(np.uint32)), packed(kinds[part])) for part in np.split(order, cuts[1:])]
         none = len(rows)
-        columns = [pa.array(chunk, pa.int64()), batch.column(0).take(pa.array(which)), pa.array(out, pa.bool_()), pa.array(words, pa.int64()), pa.array(size, pa.int64())]
-        columns += [pa.array(kinds, pa.int32()), pa.array(ids, pa.binary()), pa.array(counts, pa.binary()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.int64())]
+        columns = [pa.array(np.full(none, chunk)), pa.nulls(none, ids_type), pa.nulls(none, pa.bool_()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64())]
+        columns += [pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary()), pa.array([row[0] for row in rows], pa.int32())]
+        columns += [pa.array([row[i] for row in rows], pa.binary()) for i in range(1, 5)]
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    def vocabulary(batch: pa.RecordBatch, chunk: int, numbers: list[dict[bytes, int]], train: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for kind, own in enumerate(numbers):
-            words, places = list(own), np.fromiter(own.values(), np.int32, len(own))
-            for at in range(0, len(words), 100_000):
-                part, number = words[at : at + 100_000], places[at : at + 100_000]
-                none = len(part)
-                columns = [pa.array(np.full(none, chunk)), pa.nulls(none, batch.column(0).type), pa.nulls(none, pa.bool_()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64())]
-                columns += [pa.array(np.full(none, kind, np.int32)), pa.nulls(none, pa.binary()), pa.nulls(none, pa.binary())]
-                columns += [pa.array(number), pa.array(part, pa.binary()), pa.array(train[number])]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
     narrow = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
     return staged(narrow.mapInArrow(run, schema), "word-chunks")
 
 
+COUNTED = "bucket int, chunk long, numbers binary, c binary, place binary, unseen binary, types binary, tally binary"
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their buckets. Per chunk a row with its words' counts and their places in bucket and class, and the
+    words without a count; per kind of text a row with its different training words; and per bucket how many words and
+    occurrences are in each class."""
+    names = [field.split()[0] for field in COUNTED.split(", ")]
+    types = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
+
+    def made(bucket: int, rows: list[dict]) -> pa.RecordBatch:
+        parts = [unpacked_words(row["words"]) for row in rows]
+        words = pa.array([word for part in parts for word in part], pa.binary()).dictionary_encode()
+        which, different = words.indices.to_numpy(), words.dictionary.to_pylist()
+        total = np.zeros(len(different), np.int64)
+        np.add.at(total, which, np.concatenate([unpacked(row["train"], np.uint32) for row in rows]).astype(np.int64))
+        kinds = np.zeros(len(different), np.uint32)
+        np.bitwise_or.at(kinds, which, np.concatenate([unpacked(row["kinds"], np.uint32) for row in rows]))
+        classes = word_class(total)
+        many = np.bincount(classes, minlength=CLASSES)
+        order, place = np.argsort(classes, kind="stable"), np.empty(len(different), np.uint32)
+        place[order] = np.arange(len(different)) - (np.cumsum(many) - many)[classes[order]]
+        out, at = [], 0
+        for row, part in zip(rows, parts, strict=True):
+            own = which[at : at + len(part)]
+            at += len(part)
+            c = total[own]
+            unseen = packed_words([part[i] for i in np.flatnonzero(c == 0)])
+            out.append((bucket, row["chunk"], row["numbers"], packed(c), packed(place[own]), unseen, None, None))
+        for kind in range(KINDS):
+            some = np.flatnonzero(kinds >> np.uint32(kind) & np.uint32(1))
+            if len(some):
+                out.append((bucket, None, None, None, None, None, packed_words([bytes((kind,)) + different[i] for i in some]), None))
+        held = np.bincount(classes, total, minlength=CLASSES).astype(np.int64)
+        out.append((bucket, None, None, None, None, None, None, np.stack([many, held]).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(column, t) for column, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    last, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row["bucket"] != last:
+                yield made(last, held)
+                held = []
+            last = row["bucket"]
+            held.append(row)
+    if held:
+        yield made(last, held)
+
+
 # ---------------------------------------------------------------- the spelling model
 
 
@@ -155,32 +247,31 @@ def bit_events(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     starts = np.cumsum(sizes) - sizes
     within = np.arange(len(data)) - np.repeat(starts, sizes)
     contexts = np.empty((len(ORDERS), len(data)), np.uint64)
-    whole = None
-    for k, order in enumerate(ORDERS):
-        if order:
-            hashed = np.full(len(data), order, np.uint64)
-            for back in range(1, order + 1):
-                before = np.zeros_like(data)
-                before[back:] = data[:-back] if back < len(data) else 0
-                hashed = (hashed + np.where(within >= back, before + np.uint64(1), np.uint64(0))) * _MULT
-                hashed ^= hashed >> np.uint64(29)
-            contexts[k] = hashed
-        else:
-            # a sum over places, so that a prefix's hash is a difference of running sums
-            placed = (data + np.uint64(1)) * _MULT ^ (within.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            placed = (placed ^ (placed >> np.uint64(31))) * _MULT
-            running = np.concatenate([[np.uint64(0)], np.cumsum(placed)[:-1]])
-            whole = running - np.repeat(running[starts], sizes)
-            contexts[k] = (whole ^ np.uint64(77)) * _MULT
+    hashed, shown = np.zeros(len(data), np.uint64), data + np.uint64(1)
+    for back in range(1, max(ORDERS) + 1):
+        hashed[back:] += shown[:-back] * (within[back:] >= back)
+        hashed *= _MULT
+        hashed ^= hashed >> np.uint64(29)
+        if back in ORDERS:
+            contexts[ORDERS.index(back)] = (hashed + np.uint64(back)) * _MULT
+    # a sum over places, so that a prefix's hash is a difference of running sums
+    placed = shown * _MULT ^ (within.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    placed = (placed ^ (placed >> np.uint64(31))) * _MULT
+    running = np.concatenate([[np.uint64(0)], np.cumsum(placed)[:-1]])
+    contexts[ORDERS.index(0)] = (running - np.repeat(running[starts], sizes) ^ np.uint64(77)) * _MULT
     shifts = np.arange(7, -1, -1, dtype=np.uint64)
     coded = within > 0
     before = np.concatenate([[0], data[:-1]]).astype(np.int64)[coded]
     contexts, data = contexts[:, coded], data[coded]
     starts -= np.arange(len(words))
     bits = (data[:, None] >> shifts) & np.uint64(1)
-    nodes = (data[:, None] | np.uint64(256)) >> (shifts + np.uint64(1))
+    # the 15 nodes of half a byte lie side by side
+    halves = np.stack([data >> np.uint64(4), data & np.uint64(15)], axis=1)
+    nodes = np.stack([np.ones_like(data), halves[:, 0] | np.uint64(16)], axis=1)
     mixed = (contexts[:, :, None] ^ (nodes[None] * np.uint64(0xC2B2AE3D27D4EB4F))) * _MULT
-    slots = (mixed >> np.uint64(65 - SLOTS.bit_length())).view(np.int64).reshape(len(ORDERS), -1)
+    lines = mixed >> np.uint64(69 - SLOTS.bit_length()) << np.uint64(4)
+    inside = (halves[:, :, None] | np.uint64(16)) >> np.arange(4, 0, -1, dtype=np.uint64)
+    slots = (lines[:, :, :, None] | inside[None]).view(np.int64).reshape(len(ORDERS), -1)
     return slots, bits.ravel().astype(np.int64), np.repeat(before, 8), np.tile(np.arange(8), len(data)), starts * 8
 
 
@@ -191,23 +282,30 @@ class Spelling:
     counts: np.ndarray = field(default_factory=lambda: np.zeros((2, SLOTS), np.float32))
     weights: np.ndarray = field(default_factory=lambda: np.full((GATES, len(ORDERS)), 1.0 / len(ORDERS)))
     refined: np.ndarray = field(default_factory=lambda: np.zeros((256, BUCKETS, 2)))
-
-    def inputs(self, slots: np.ndarray, bits: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Predictions in the logistic domain, per context, and how many contexts are known; ``own``: the word's share."""
-        zeros, ones = self.counts[0][slots], self.counts[1][slots]
-        if own:
-            ones -= bits.astype(np.float32)
-            zeros -= (1 - bits).astype(np.float32)
-        known = (zeros + ones > 0).sum(axis=0)
-        zeros += np.float32(SOFT)
-        ones += np.float32(SOFT)
-        ones /= zeros
-        return np.log(ones, out=ones), known
+    kept: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def stretched(self, own: int) -> np.ndarray:
+        """Per bit and slot, the prediction in the logistic domain before that bit; ``own``: the word's share. 0 if the slot is not known."""
+        if own in self.kept:
+            return self.kept[own]
+        out = np.zeros((2, SLOTS), np.float32)
+        for bit in (0, 1):
+            zeros, ones = np.maximum(self.counts[0] - own * (1 - bit), 0), np.maximum(self.counts[1] - own * bit, 0)
+            known = zeros + ones > 0
+            out[bit] = np.log((ones + np.float32(SOFT)) / (zeros + np.float32(SOFT)))
+            out[bit][known & (out[bit] == 0)] = 1e-6
+        self.kept[own] = out.ravel()
+        return self.kept[own]
+
+    def inputs(self, slots: np.ndarray, bits: np.ndarray, stretched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Predictions in the logistic domain, per context, and how many contexts are known."""
+        out = stretched.take(slots + bits * SLOTS)
+        return out, (out != 0).sum(axis=0)
 
     def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        total = self.weights[:, 0][gate] * inputs[0]
-        for k in range(1, len(ORDERS)):
-            total += self.weights[:, k][gate] * inputs[k]
+        total, weights = np.zeros(len(gate), np.float32), self.weights.T.astype(np.float32)
+        for k in range(len(ORDERS)):
+            total += weights[k][gate] * inputs[k]
         return np.clip(total, -14, 14)
 
     def refine(self, before: np.ndarray, mixed: np.ndarray) -> np.ndarray:
@@ -224,29 +322,29 @@ class Spelling:
 
     def log10(self, words: list[bytes]) -> np.ndarray:
         """The log-probability of each word's spelling."""
-        out = [np.empty(0)]
+        out, stretched = [np.empty(0)], self.stretched(0)
         for at in range(0, len(words), BLOCK_WORDS):
             slots, bits, before, place, first = bit_events(words[at : at + BLOCK_WORDS])
-            inputs, known = self.inputs(slots, bits, 0)
+            inputs, known = self.inputs(slots, bits, stretched)
             chance = self.refine(before, self.mixed(inputs, known * 8 + place))
             out.append(np.add.reduceat(np.log10(np.where(bits == 1, chance, 1 - chance)), first))
         return np.concatenate(out)
 
     def count(self, words: list[bytes]) -> None:
+        self.kept.clear()
         for at in range(0, len(words), BLOCK_WORDS):
             slots, bits, *_ = bit_events(words[at : at + BLOCK_WORDS])
-            for bit in (0, 1):
-                self.counts[bit] += np.bincount(slots[:, bits == bit].ravel(), minlength=SLOTS).astype(np.float32)
+            np.add.at(self.counts.reshape(-1), (slots + bits * SLOTS).ravel(), np.float32(1))
 
     def learn(self, words: list[bytes]) -> int:
         """Weights and map, online: each block is predicted, then learned. Gives the number of bits."""
-        total = 0
+        total, stretched = 0, self.stretched(1)
         for at in range(0, len(words), LEARN_WORDS):
             slots, bits, before, place, _ = bit_events(words[at : at + LEARN_WORDS])
-            inputs, known = self.inputs(slots, bits, 1)
+            inputs, known = self.inputs(slots, bits, stretched)
             gate = known * 8 + place
             mixed = self.mixed(inputs, gate)
-            wrong = bits - 1 / (1 + np.exp(-mixed))
+            wrong = bits.astype(np.float32) - 1 / (1 + np.exp(-mixed))
             seen = np.maximum(np.bincount(gate, minlength=GATES), 1)
             for k in range(len(ORDERS)):
                 self.weights[:, k] += RATE * np.bincount(gate, wrong * inputs[k], minlength=GATES) / seen
@@ -257,9 +355,17 @@ class Spelling:
         return total
 
 
-def with_kind(batch: pa.RecordBatch) -> list[bytes]:
-    """The words (first column) after a byte for their kind (second column)."""
-    return [bytes((kind,)) + word for word, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+def different_words(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Words after a byte for their kind, some thousands at a time."""
+    words = []
+    for batch in batches:
+        for part in batch.column(0):
+            words += unpacked_words(part.as_py())
+            if len(words) >= BLOCK_WORDS:
+                yield words
+                words = []
+    if words:
+        yield words
 
 
 def binary_rows(values: np.ndarray, block: int) -> pa.RecordBatch:
@@ -289,15 +395,15 @@ def added_up(rows: DataFrame, dtype: str) -> np.ndarray:
 
 
 def fitted_spelling(types: DataFrame) -> Spelling:
-    """From the different training words (``word``), spread over as many tasks as the cluster runs at once."""
+    """From the different training words (``types``, packed), spread over as many tasks as the cluster runs at once."""
     context = types.sparkSession.sparkContext
-    own = types.select("word", "kind").coalesce(max(context.defaultParallelism, 1))
+    own = types.select("types").coalesce(max(context.defaultParallelism, 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, some = Spelling(), False
-        for batch in batches:
-            model.count(with_kind(batch))
-            some = some or batch.num_rows > 0
+        for words in different_words(batches):
+            model.count(words)
+            some = True
         if some:
             yield binary_rows(model.counts, SLOT_BLOCK)  # exact up to 16 million, beyond which a count no longer grows
 
@@ -308,8 +414,8 @@ def fitted_spelling(types: DataFrame) -> Spelling:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, total = Spelling(shared.value), 0
-        for batch in batches:
-            total += model.learn(with_kind(batch))
+        for words in different_words(batches):
+            total += model.learn(words)
         if total:  # one row: the weights times the bits they were learned from, these bits, and the map
             yield binary_rows(np.concatenate([model.weights.ravel() * total, [total], model.refined.ravel()])[None], GATES * len(ORDERS) + 1 + 256 * BUCKETS * 2)
 
@@ -318,6 +424,285 @@ def fitted_spelling(types: DataFrame) -> Spelling:
     return Spelling(counts.reshape(2, SLOTS), (learned[:cut] / learned[cut]).reshape(GATES, -1), learned[cut + 1 :].reshape(256, BUCKETS, 2))
 
 
+# ---------------------------------------------------------------- words as paths of decisions
+
+
+def word_class(c: np.ndarray) -> np.ndarray:
+    """The number of binary digits of a count; 0 for none."""
+    return np.frexp(c.astype(np.float64))[1].astype(np.int64)
+
+
+@dataclass
+class Codes:
+    """What turns a word's bucket, count and place into its path: the Huffman code of its class, then its number in the class."""
+
+    path: np.ndarray  # by class
+    depth: np.ndarray
+    digits: np.ndarray
+    first: np.ndarray  # number of the first word by bucket and class
+
+    @classmethod
+    def of(cls, tallies: dict[int, np.ndarray]) -> Codes:
+        many, held = np.zeros((WORD_BUCKETS, CLASSES), np.int64), np.zeros(CLASSES, np.int64)
+        for bucket, tally in tallies.items():
+            many[bucket] = tally[0]
+            held += tally[1]
+        seen_once = held[1]
+        held[0], held[1] = seen_once // 2 + 1, seen_once - seen_once // 2
+        path, depth = np.zeros(CLASSES, np.uint64), np.zeros(CLASSES, np.int64)
+        heap = [(int(held[c]), c, (c,)) for c in range(CLASSES) if held[c]]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (n, _, zeros), (m, tie, ones) = heapq.heappop(heap), heapq.heappop(heap)
+            for c in ones:
+                path[c] |= np.uint64(1 << int(depth[c]))
+            depth[[*zeros, *ones]] += 1
+            heapq.heappush(heap, (n + m, tie, zeros + ones))
+        of_class = many.sum(axis=0)
+        of_class[0] = 0
+        digits = np.array([int(n - 1).bit_length() if n else 0 for n in of_class])
+        return cls(path, depth, digits, np.cumsum(many, axis=0) - many)
+
+    def words(self, buckets: np.ndarray, c: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Paths, and how many decisions they have."""
+        classes = word_class(c)
+        number = np.where(c > 0, self.first[buckets, classes] + place, 0).astype(np.uint64)
+        return self.path[classes] << self.digits[classes].astype(np.uint64) | number, self.depth[classes] + self.digits[classes]
+
+
+def later(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The value of the word before, 0 at the start of a text."""
+    out = np.concatenate([values[:1], values[:-1]])
+    out[starts] = 0
+    return out
+
+
+class Texts:
+    """Some texts, their words in a row: paths, contexts, and the word that came last time after the same word of this text."""
+
+    def __init__(self, ids: list[np.ndarray], kinds: np.ndarray, paths: np.ndarray, depths: np.ndarray):
+        self.sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.ids = np.concatenate([np.empty(0, np.uint32), *ids]).astype(np.int64)
+        self.starts = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        self.text = np.repeat(np.arange(len(ids)), self.sizes)
+        self.paths, self.depths = paths[self.ids], depths[self.ids]
+        named = (self.paths * np.uint64(64) + self.depths.astype(np.uint64) + np.uint64(1)) * _MULT
+        before = later(named ^ named >> np.uint64(29), self.starts)
+        two = (before + later(before, self.starts) * np.uint64(0xD6E8FEB86659FD93)) * _MULT
+        self.contexts = np.stack([(kinds[self.text].astype(np.uint64) + np.uint64(1)) * _MULT, before, two ^ two >> np.uint64(31)])
+        self.expected = np.zeros(len(self.ids), np.uint64)
+        self.expected_depth = np.zeros(len(self.ids), np.int64)
+        self.longer = np.zeros(len(self.ids), np.int64)
+        if len(self.ids):
+            key = self.text << 32 | later(self.ids + 1, self.starts)
+            order = np.argsort(key, kind="stable")
+            again = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+            now, last = order[again + 1], order[again]
+            self.expected[now], self.expected_depth[now] = self.paths[last], self.depths[last]
+            self.longer[now] = two[now] == two[last]
+
+    def decisions(self, at: int, slots: int, depths: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For the words from ``at`` on: slots (per context), the bit, the row of the map, the gate's part for depth and expectation, each word's first.
+
+        The 15 nodes of four decisions lie side by side."""
+        stop = min(at + PATH_WORDS, len(self.ids))
+        size = depths[at:stop]
+        first = np.cumsum(size) - size
+        depth = np.arange(int(size.sum())) - np.repeat(first, size)
+        left = (np.repeat(size, size) - depth).astype(np.uint64)
+        path = np.repeat(paths[at:stop], size)
+        prefix = path >> left
+        bits = (path >> (left - np.uint64(1)) & np.uint64(1)).astype(np.int64)
+        steps = depth.astype(np.uint64)
+        nodes = prefix | np.uint64(1) << steps
+        steps &= np.uint64(3)
+        spread = (nodes >> steps) * np.uint64(0xC2B2AE3D27D4EB4F)
+        spread ^= spread >> np.uint64(32)
+        inside = np.uint64(1) << steps
+        inside |= prefix & (inside - np.uint64(1))
+        out = np.empty((CONTEXTS, len(depth)), np.int64)
+        shift = np.uint64(69 - slots.bit_length())
+        for k in range(CONTEXTS - 1):
+            mixed = (np.repeat(self.contexts[k, at:stop], size) ^ spread) * _MULT >> shift << np.uint64(4)
+            out[k] = (mixed | inside).view(np.int64) + k * slots
+        behind = np.repeat(self.expected_depth[at:stop], size) - depth
+        path = np.repeat(self.expected[at:stop], size)
+        awaited = (behind > 0) & (path >> np.maximum(behind, 0).astype(np.uint64) == prefix)
+        bit = (path >> np.maximum(behind - 1, 0).astype(np.uint64) & np.uint64(1)).astype(np.int64)
+        out[-1] = (1 + bit + 2 * np.minimum(depth, 31) + 64 * np.repeat(self.longer[at:stop], size)) * awaited + (CONTEXTS - 1) * slots
+        return out, bits, (nodes * (nodes < 256)).astype(np.int64), np.minimum(depth, 15) * 8 + awaited, first
+
+
+def word_inputs(stretched: np.ndarray) -> np.ndarray:
+    """How many of the contexts, but for the word expected, say something; that one never does where none is expected."""
+    return (stretched[:-1] != 0).sum(axis=0)
+
+
+@dataclass
+class Words:
+    """Counts of zeros (lower half of a number) and ones per slot, weights per gate, and the adaptive map's counts."""
+
+    slots: int
+    counts: np.ndarray
+    weights: np.ndarray = field(default_factory=lambda: np.full((WORD_GATES, CONTEXTS), 0.4))
+    refined: np.ndarray = field(default_factory=lambda: np.zeros((256, BUCKETS, 2)))
+
+    @classmethod
+    def empty(cls, slots: int) -> Words:
+        return cls(slots, np.zeros(slots * (CONTEXTS - 1) + 256, np.uint64))
+
+    def halves(self) -> np.ndarray:
+        return self.counts.view("<u4").reshape(-1, 2)
+
+    def stretched(self) -> np.ndarray:
+        """The prediction of every slot in the logistic domain; 0 where no word is expected."""
+        zeros, ones = self.halves().T.astype(np.float32) + np.float32(SOFT)
+        out = np.log(ones / zeros)
+        out[self.slots * (CONTEXTS - 1)] = 0
+        return out
+
+    def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(gate), np.float32)
+        for k in range(CONTEXTS):
+            total += self.weights[:, k].astype(np.float32)[gate] * inputs[k]
+        return np.clip(total, -14, 14)
+
+    def learn(self, texts: Texts, depths: np.ndarray, paths: np.ndarray) -> int:
+        """Online: each block is predicted, then learned. Gives the number of decisions."""
+        done, none = 0, self.slots * (CONTEXTS - 1)
+        for at in range(0, len(texts.ids), PATH_WORDS):
+            slots, bits, row, gate, _ = texts.decisions(at, self.slots, depths, paths)
+            both = self.counts.take(slots).view("<u4").reshape(CONTEXTS, -1, 2).astype(np.float32)
+            both += np.float32(SOFT)
+            inputs = np.log(both[:, :, 1] / both[:, :, 0])
+            inputs[-1][slots[-1] == none] = 0
+            gate = gate + 2 * word_inputs(inputs)
+            mixed = self.mixed(inputs, gate)
+            wrong = bits.astype(np.float32) - 1 / (1 + np.exp(-mixed))
+            seen = np.maximum(np.bincount(gate, minlength=WORD_GATES), 1)
+            for k in range(CONTEXTS):
+                self.weights[:, k] += RATE * np.bincount(gate, wrong * inputs[k], minlength=WORD_GATES) / seen
+            bucket = np.rint((mixed + 14) / 28 * (BUCKETS - 1)).astype(np.int64)
+            self.refined += np.bincount((row * BUCKETS + bucket) * 2 + bits, minlength=self.refined.size).reshape(self.refined.shape)
+            added = np.uint64(1) << (bits.astype(np.uint64) << np.uint64(5))
+            for k in range(CONTEXTS):
+                np.add.at(self.counts, slots[k], added)
+            done += len(bits)
+        return done
+
+
+@dataclass
+class Learned:
+    """The model of words as it is sent to the tasks that score."""
+
+    slots: int
+    stretched: np.ndarray
+    weights: np.ndarray
+    table: np.ndarray
+
+    @classmethod
+    def of(cls, model: Words) -> Learned:
+        centre = 1 / (1 + np.exp(-(np.arange(BUCKETS) / (BUCKETS - 1) * 28 - 14)))
+        # every bucket starts as if it had seen a few bits that agree with the mixer
+        table = (model.refined[:, :, 1] + 4 * centre) / (model.refined.sum(axis=2) + 4)
+        return cls(model.slots, model.stretched(), model.weights.astype(np.float32), table.astype(np.float32).ravel())
+
+    def log10(self, texts: Texts) -> np.ndarray:
+        """The log-probability of each word's path."""
+        out = np.zeros(len(texts.ids))
+        for at in range(0, len(texts.ids), PATH_WORDS):
+            slots, bits, row, gate, first = texts.decisions(at, self.slots, texts.depths, texts.paths)
+            if not len(bits):
+                continue
+            inputs = self.stretched.take(slots)
+            gate = gate + 2 * word_inputs(inputs)
+            mixed = np.zeros(len(gate), np.float32)
+            for k in range(CONTEXTS):
+                mixed += self.weights[:, k][gate] * inputs[k]
+            mixed = np.clip(mixed, -14, 14)
+            place = (mixed + np.float32(14)) * np.float32((BUCKETS - 1) / 28)
+            low = np.minimum(place.astype(np.int64), BUCKETS - 2)
+            share = place - low.astype(np.float32)
+            low += row * BUCKETS
+            mapped = self.table[low] * (1 - share) + self.table[low + 1] * share
+            chance = np.clip(0.5 / (1 + np.exp(-mixed)) + 0.5 * mapped, np.float32(1e-6), np.float32(1 - 1e-6))
+            stop = min(at + PATH_WORDS, len(texts.ids))
+            # the chance of what was decided; every word has a decision, as every class has one if there are two
+            out[at:stop] = np.add.reduceat(np.log10(np.abs(bits.astype(np.float32) + chance - 1)), first)
+        return out
+
+
+class Vocabulary:
+    """The words of a chunk by number: counts, paths, and those without a count."""
+
+    def __init__(self):
+        self.parts, self.unseen = [], {}
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        for row in rows.to_pylist():
+            numbers, c = unpacked(row["numbers"], np.uint32), unpacked(row["c"], np.int64)
+            self.parts.append((numbers, np.full(len(numbers), row["bucket"]), c, unpacked(row["place"], np.uint32)))
+            new = numbers[c == 0].tolist()
+            if new:
+                self.unseen.update(zip(new, unpacked_words(row["unseen"]), strict=True))
+
+    def settle(self, codes: Codes) -> None:
+        if self.parts is None:
+            return
+        numbers, buckets, c, place = (np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else (np.empty(0, np.int64) for _ in range(4))
+        self.parts, order = None, np.argsort(numbers)
+        self.c, self.place = c[order], place[order]
+        self.paths, self.depths = codes.words(buckets[order], self.c, self.place)
+        missing = codes.words(np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64))
+        as_new = (self.c == 1) & (self.place % 2 == 1)  # learned as words without a count
+        self.learned_paths, self.learned_depths = np.where(as_new, missing[0], self.paths), np.where(as_new, missing[1], self.depths)
+
+
+def texts_of(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[tuple[pa.RecordBatch, Vocabulary, Texts]]:
+    """Rows in the order of their chunks, a chunk's words before its documents; gives some documents at a time."""
+    chunk, words = None, Vocabulary()
+    for batch in batches:
+        own, answers = batch.column(0).to_numpy(), batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((own[1:] != own[:-1]) | (answers[1:] != answers[:-1])) + 1
+        for at, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)], strict=True):
+            if at == stop:
+                continue
+            if own[at] != chunk:
+                chunk, words = own[at], Vocabulary()
+            if answers[at]:
+                words.add(batch.slice(at, stop - at))
+                continue
+            words.settle(codes)
+            group = np.cumsum(batch.column("n_words").to_numpy(zero_copy_only=False)[at:stop].astype(np.int64)) // GROUP_WORDS
+            edges = [at, *(np.flatnonzero(np.diff(group)) + 1 + at).tolist(), stop]
+            for a, b in zip(edges, edges[1:], strict=False):
+                rows = batch.slice(a, b - a)
+                ids = [unpacked(part.as_py(), np.uint32) for part in rows.column("ids")]
+                yield rows, words, Texts(ids, rows.column("kind").to_numpy(zero_copy_only=False).astype(np.int64), words.paths, words.depths)
+
+
+def fitted_words(together: DataFrame, codes: Codes, words: int) -> Words:
+    """From the training texts; ``together``: words and documents by chunk."""
+    slots = 1 << min(max((4 * words).bit_length(), 12), WORD_SLOTS.bit_length() - 1)
+    shared = together.sparkSession.sparkContext.broadcast(codes)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, total = Words.empty(slots), 0
+        for _, chunk, texts in texts_of(batches, shared.value):
+            total += model.learn(texts, chunk.learned_depths[texts.ids], chunk.learned_paths[texts.ids])
+        if total:  # the counts, the weights times the decisions they were learned from, these decisions, and the map
+            flat = np.concatenate([model.halves().ravel(), model.weights.ravel() * total, [total], model.refined.ravel()]).astype("<f4")
+            yield binary_rows(np.concatenate([flat, np.zeros(-len(flat) % SLOT_BLOCK, "<f4")]), SLOT_BLOCK)
+
+    learned = added_up(together.coalesce(LEARNERS).mapInArrow(learn, "block int, part binary"), "<f4")
+    model = Words.empty(slots)
+    if len(learned):
+        cuts = np.cumsum([2 * len(model.counts), model.weights.size, 1, model.refined.size])
+        counts, weights, total, refined, _ = np.split(learned, cuts)
+        model = Words(slots, np.minimum(counts, 4e9).astype("<u4").view(np.uint64), (weights / total).reshape(WORD_GATES, -1), refined.reshape(256, BUCKETS, 2))
+    return model
+
+
 # ---------------------------------------------------------------- ends of texts
 
 
@@ -349,155 +734,80 @@ def end_scores(chances: np.ndarray, words: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- scores
 
 
-class Urns:
-    """log10 of a text's words in any order, by their log-probabilities and counts, averaged over ``URNS``."""
-
-    def __init__(self):
-        self.steps = np.zeros((len(URNS), 1))  # running sums of log10(step + mu)
-
-    def score(self, logs: np.ndarray, counts: np.ndarray) -> float:
-        if not len(counts):
-            return 0.0
-        total, first = int(counts.sum()), float(logs.sum())
-        if total >= self.steps.shape[1]:
-            upto = np.arange(2 * total)
-            self.steps = np.array([np.concatenate([[0.0], np.cumsum(np.log10(upto + mu))]) for mu in URNS])
-        more = counts > 1
-        again = counts[more] - 1
-        drawn = np.repeat(10.0 ** logs[more], again)
-        before = 1 + np.arange(len(drawn)) - np.repeat(np.cumsum(again) - again, again)
-        scores = np.array([first + len(counts) * log10(mu) + np.log10(before + mu * drawn).sum() for mu in URNS]) - self.steps[:, total]
-        top = scores.max()
-        return float(top + log10(np.mean(10.0 ** (scores - top))))
-
-
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``."""
     rows = chunks(docs, id_col, text_col)
-    asked = rows.where("word IS NOT NULL").select("chunk", "number", "kind", "word", "train")
-    schema = "chunk long, number int, kind int, word binary, c long, c_kind long, first boolean, first_kind boolean"
-    # One shuffle by word gives every asking chunk the counts and marks one row of each word. A word has a row per chunk.
-    ordered = asked.repartition("word").sortWithinPartitions("word", "kind", "chunk")
-    asked = staged(ordered.mapInArrow(with_totals, schema), "word-counts")
-    types = asked.where("first_kind AND c_kind > 0")
-    seen_once = lambda c: F.sum((F.col(c) == 1).cast("long")).alias("once")
-    totals = asked.where("first AND c > 0").agg(F.count(F.lit(1)).alias("types"), F.sum("c").alias("words"), seen_once("c")).first()
-    documents = rows.where("word IS NULL")
+    # One shuffle by hash bucket gives every chunk the counts of its words.
+    asked = rows.where("bucket IS NOT NULL").select("bucket", "chunk", "numbers", "words", "train", "kinds")
+    answers = staged(asked.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(counted, COUNTED), "word-counts")
+    tallies = {row.bucket: np.frombuffer(row.tally, np.int64).reshape(2, CLASSES) for row in answers.where("tally IS NOT NULL").select("bucket", "tally").collect()}  # a row per bucket
+    documents = rows.where("bucket IS NULL")
     trained = documents.where("NOT held_out").select("n_words", "kind")
-    by_kind = {row.kind: row for row in types.groupBy("kind").agg(F.sum("c_kind").alias("words"), seen_once("c_kind")).collect()}
     texts = {row.kind: row.n for row in trained.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    words, once = totals.words or 0, totals.once or 0
+    types, words = (int(sum(tally[i][1:].sum() for tally in tallies.values())) for i in (0, 1))
     numbers = {
         "tokens": words + sum(texts.values()),
-        "types": totals.types + bool(texts),
+        "types": types + bool(texts),
         "texts": sum(texts.values()),
-        "words": max(words, 1),
-        "known": 1 - (once + 1) / (words + 2) if words else 0.0,
-        "kind_words": np.array([max(by_kind[k].words, 1) if k in by_kind else 1 for k in range(KINDS)], float),
-        "kind_known": np.array([1 - (by_kind[k].once + 1) / (by_kind[k].words + 2) if k in by_kind else 0.0 for k in range(KINDS)]),
         "kind_score": np.log10([(texts.get(k, 0) + 1) / (sum(texts.values()) + KINDS) for k in range(KINDS)]),
         "ends": end_chances(trained.select("n_words")),
     }
-    return answered(rows, asked, fitted_spelling(types), numbers)
+    codes = Codes.of(tallies)
+    columns = ["chunk", "numbers", "bucket", "c", "place", "unseen", "doc_id", "held_out", "n_words", "n_bytes", "ids", "kind"]
 
+    def by_chunk(documents: DataFrame) -> DataFrame:
+        given = answers.where("numbers IS NOT NULL").select(*columns[:6])
+        together = given.unionByName(documents.select("chunk", *columns[6:]), allowMissingColumns=True).select(*columns)
+        return together.repartition("chunk").sortWithinPartitions("chunk", F.col("numbers").isNull(), "bucket")
 
-def with_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of their words and kinds: each with the word's count in all chunks, and in those of its kind."""
+    model = Learned.of(fitted_words(by_chunk(documents.where("NOT held_out")), codes, words))
+    spelling = fitted_spelling(answers.where("types IS NOT NULL"))
+    return answered(by_chunk(documents), (codes, model, spelling, numbers))
 
-    def made(held: pa.Table) -> Iterator[pa.RecordBatch]:
-        held = held.combine_chunks()
-        word, kind, train = held.column("word").chunk(0), held.column("kind").to_numpy(), held.column("train").to_numpy()
-        new = np.concatenate([[True], pa.compute.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)])
-        new_kind = new | np.concatenate([[True], kind[1:] != kind[:-1]])
-        total = np.add.reduceat(train, np.flatnonzero(new))[np.cumsum(new) - 1]
-        of_kind = np.add.reduceat(train, np.flatnonzero(new_kind))[np.cumsum(new_kind) - 1]
-        columns = [held.column(n) for n in ("chunk", "number", "kind", "word")] + [pa.array(x) for x in (total, of_kind, new, new_kind)]
-        yield from pa.table(columns, names=["chunk", "number", "kind", "word", "c", "c_kind", "first", "first_kind"]).to_batches()
 
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch])
-        held = now if held is None else pa.concat_tables([held, now])
-        words = held.column("word")
-        last = words[-1]
-        cut = held.num_rows
-        while cut and words[cut - 1] == last:
-            cut -= 1
-        if cut:
-            yield from made(held.slice(0, cut))
-            held = held.slice(cut)
-    if held is not None:
-        yield from made(held)
-
-
-def answered(rows: DataFrame, asked: DataFrame, spelling: Spelling, numbers: dict) -> DataFrame:
-    """The words' counts and log-probabilities go back to their chunks, and the chunks' texts are scored."""
-    shared = rows.sparkSession.sparkContext.broadcast((spelling, numbers))
-
-    def word_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value
-        for batch in batches:
-            c, c_kind, kind = (batch.column(i).to_numpy() for i in (4, 5, 1))
-            of_kind = known["kind_known"][kind]
-            chance = of_kind * c_kind / known["kind_words"][kind] + (1 - of_kind) * known["known"] * c / known["words"]
-            score = np.log10(np.where(c > 0, chance, 1.0))
-            new = np.flatnonzero(c == 0)
-            if len(new):
-                # in logarithms, as the chance of a long word is below the least double
-                words = pa.array(with_kind(batch.take(pa.array(new))), pa.binary()).dictionary_encode()
-                spelled = model.log10(words.dictionary.to_pylist())[words.indices.to_numpy()]
-                score[new] = np.log10(1 - of_kind[new]) + log10(1 - known["known"]) + spelled
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), batch.column(4), pa.array(score)], ["chunk", "number", "c", "score"])
-
-    answers = asked.select("word", "kind", "chunk", "number", "c", "c_kind").mapInArrow(word_scores, "chunk long, number int, c long, score double")
-    documents = rows.where("word IS NULL").select("chunk", "doc_id", "held_out", "n_words", "n_bytes", "ids", "counts", F.col("kind").alias("text_kind"))
-    together = answers.unionByName(documents, allowMissingColumns=True).select("chunk", "number", "c", "score", *documents.columns[1:])
+def answered(together: DataFrame, model: tuple) -> DataFrame:
+    """The chunks' texts are scored; ``together``: words and documents by chunk."""
+    shared = together.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
-        [rows.schema["doc_id"], T.StructField("held_out", T.BooleanType())]
+        [together.schema["doc_id"], T.StructField("held_out", T.BooleanType())]
         + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
         + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "bits_per_byte")]
     )
 
     def text_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, known = shared.value
+        codes, model, spelling, known = shared.value
         total, end_c = known["tokens"] + known["types"] + 1, known["texts"]
-        chunk, urns = None, Urns()
-        c, base, score = np.zeros(1, np.int64), np.zeros(1), np.zeros(1)
-        for batch in batches:
-            number = batch.column(1)
-            answers = number.is_valid().to_numpy(zero_copy_only=False)
-            own = batch.column(0).to_numpy()
-            which, out = [], []
-            for at in np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (answers[1:] != answers[:-1])])).tolist() if len(own) else []:
-                stop = at
-                while stop < len(own) and own[stop] == own[at] and answers[stop] == answers[at]:
-                    stop += 1
-                part = batch.slice(at, stop - at)
-                if answers[at]:
-                    if own[at] != chunk:
-                        chunk = own[at]
-                        c, score = np.zeros(1 << 16, np.int64), np.zeros(1 << 16)
-                    place = part.column(1).to_numpy()
-                    while place.max() >= len(c):
-                        c, score = np.concatenate([c, np.zeros_like(c)]), np.concatenate([score, np.zeros_like(score)])
-                    c[place], score[place] = part.column(2).to_numpy(), part.column(3).to_numpy()
-                    continue
-                base = np.log10((c + 1) / total)
-                for i, (ids, counts) in enumerate(zip(part.column(8), part.column(9), strict=True)):
-                    words = np.frombuffer(ids.as_py(), np.uint32)
-                    many = np.frombuffer(counts.as_py(), np.uint32).astype(np.int64)
-                    which.append(at + i)
-                    out.append((int(many[c[words] > 0].sum()), float(many @ base[words]), urns.score(score[words], many)))
-            if out:
-                rows = batch.take(pa.array(which))
-                n_known, base_sum, sums = (np.array(x) for x in zip(*out, strict=True))
-                n = rows.column(6).to_numpy()
-                scores = sums + end_scores(known["ends"], n.astype(np.float64)) + known["kind_score"][rows.column(10).to_numpy()]
-                size = np.maximum(rows.column(7).to_numpy(), 1)
-                columns = [n + 1, n_known + (end_c > 0), np.full(len(n), known["tokens"]), base_sum + log10((end_c + 1) / total), scores, -scores / log10(2) / size]
-                yield pa.RecordBatch.from_arrays([rows.column(4), rows.column(5), *(pa.array(x) for x in columns)], names=schema.names)
-
-    ordered = together.repartition("chunk").sortWithinPartitions("chunk", F.col("number").isNull(), "number")
-    return ordered.mapInArrow(text_scores, schema)
+        for rows, chunk, texts in texts_of(batches, codes):
+            c, kind = chunk.c[texts.ids], rows.column("kind").to_numpy(zero_copy_only=False).astype(np.int64)
+            scores = model.log10(texts)
+            missing = np.flatnonzero(c == 0)
+            scores[missing] += spelled(texts, missing, chunk, kind, spelling)
+            of_text = lambda values: np.bincount(texts.text, values, minlength=len(kind))  # noqa: E731, B023
+            n, size = (rows.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("n_words", "n_bytes"))
+            n_known = of_text(c > 0).astype(np.int64)
+            base = of_text(np.log10((c + 1) / total)) + log10((end_c + 1) / total)
+            score = of_text(scores) + end_scores(known["ends"], n.astype(np.float64)) + known["kind_score"][kind]
+            columns = [n + 1, n_known + (end_c > 0), np.full(len(n), known["tokens"]), base, score, -score / log10(2) / np.maximum(size, 1)]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("held_out"), *(pa.array(x) for x in columns)], names=schema.names)
+
+    return together.mapInArrow(text_scores, schema)
+
+
+def spelled(texts: Texts, missing: np.ndarray, chunk: Vocabulary, kind: np.ndarray, spelling: Spelling) -> np.ndarray:
+    """log10 for the words without a count: drawn again from those of their text so far, or spelled."""
+    if not len(missing):
+        return np.zeros(0)
+    text = texts.text[missing]
+    key = text << 32 | texts.ids[missing]
+    order = np.argsort(key, kind="stable")
+    run = np.diff(key[order], prepend=-1) != 0
+    used = np.empty(len(missing), np.int64)
+    used[order] = np.arange(len(missing)) - np.flatnonzero(run)[np.cumsum(run) - 1]
+    so_far = np.arange(len(missing)) - np.searchsorted(text, text)
+    out = np.log10(np.where(used > 0, used, URN) / (so_far + URN))
+    first = np.flatnonzero(used == 0)
+    words = [bytes((k,)) + chunk.unseen[i] for k, i in zip(kind[text[first]].tolist(), texts.ids[missing[first]].tolist(), strict=True)]
+    different = list(dict.fromkeys(words))
+    logs = dict(zip(different, spelling.log10(different).tolist(), strict=True))
+    out[first] += [logs[word] for word in words]
+    return out

@@ -358,6 +358,38 @@ def test_long_unseen_words_cost_their_length(spark):
     assert long.score < 1.5 * short.score and 1.01 * long.score < twice.score < long.score
 
 
+def test_words_are_scored_in_their_context(spark):
+    cycle = [f"word{i}" for i in range(16)]
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    ordered, mixed = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    words = cycle * 4
+    shuffled = random.Random(8).sample(words, len(words))
+    rows = [(i, " ".join((cycle * 5)[i % 16 : i % 16 + 50])) for i in learned] + [(ordered, " ".join(words)), (mixed, " ".join(shuffled))]
+    got = {r.doc_id: r for r in language_model.scored(documents(spark, rows)).collect()}
+    assert abs(got[ordered].base_score - got[mixed].base_score) < 1e-9
+    assert got[ordered].score > 0.5 * got[mixed].score and got[ordered].score > got[ordered].base_score
+
+
+def test_paths_are_a_distribution():
+    c = np.array([1] * 9 + [2] * 3 + [5, 6, 7, 30, 100, 0])
+    classes, none = language_model.word_class(c), np.zeros(len(c), np.int64)
+    place = np.array([(classes[:i] == classes[i]).sum() for i in range(len(c))])
+    tally = np.stack([np.bincount(classes, w, minlength=language_model.CLASSES).astype(np.int64) for w in (none + 1, c)])
+    paths, depths = language_model.Codes.of({0: tally}).words(none, c, place)
+    coded = [f"{path:0{depth}b}" for path, depth in zip(paths.tolist(), depths.tolist(), strict=True)]
+    assert not any(a != b and b.startswith(a) for a in coded for b in coded) and len(set(coded)) == len(c)
+    some = np.random.default_rng(3).choice(len(c), (40, 50), p=(c + 1) / (c + 1).sum()).astype(np.uint32)
+    texts = language_model.Texts(list(some), np.zeros(40, np.int64), paths, depths)
+    model = language_model.Words.empty(1 << 12)
+    assert model.learn(texts, texts.depths, texts.paths) == depths[some].sum()
+    assert (model.halves()[:, 0].sum() + model.halves()[:, 1].sum()) == language_model.CONTEXTS * depths[some].sum()
+    fitted = language_model.Learned.of(model)
+    for before in ([], [16], [16, 3, 16, 3, 16]):
+        every = language_model.Texts([np.array([*before, i], np.uint32) for i in range(len(c))], none, paths, depths)
+        chances = 10 ** fitted.log10(every).reshape(len(c), -1)[:, -1]
+        assert 0.6 < chances.sum() < 1 + 1e-4 and chances.argmax() == 16
+
+
 def test_spelling_is_a_distribution():
     model = language_model.Spelling()
     words = [b"\x00" + bytes([a, b]) for a in b"abc" for b in b"abc"] * 3
