@@ -55,7 +55,10 @@ WORD_SLOTS = 1 << 20
 WORD_GATES = 16 * 8
 LEARNERS = 12
 GROUP_WORDS = 1 << 18
-_SYMBOLS = frozenset(b"!#$%&*+/<=>?@\\^_`|~")
+_SYMBOLS = np.isin(np.arange(256), list(b"!#$%&*+/<=>?@\\^_`|~"))
+_BLANKS = b" \t\n\x0b\x0c\r"
+_IS_BLANK = bytes(b in _BLANKS for b in range(256))
+_LOWER = bytes(range(256)).lower()
 SLOTS = 1 << 21
 SLOT_BLOCK = 1 << 14
 GATES = (len(ORDERS) + 1) * 8
@@ -63,6 +66,7 @@ BUCKETS = 33
 BLOCK_WORDS = 4000
 LEARN_WORDS = 1000
 PATH_WORDS = 2048
+SCORE_WORDS = 2048
 RATE = 0.1
 SOFT = 0.4
 _WORD_END = 0x20
@@ -78,9 +82,10 @@ def text_kind(text: str, marked: int, total: int) -> int:
     script = 0
     if not text.isascii():
         points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
-        different, many = np.unique(points[points > 127], return_counts=True)
-        if len(many):
-            script = 1 + int(different[many.argmax()]) % (KINDS // 2 - 1)
+        points = np.sort(points[points > 127])
+        if len(points):
+            cuts = np.concatenate([[0], np.flatnonzero(points[1:] != points[:-1]) + 1, [len(points)]])
+            script = 1 + int(points[cuts[(cuts[1:] - cuts[:-1]).argmax()]]) % (KINDS // 2 - 1)
     return 2 * script + (4 * marked > total)
 
 
@@ -92,12 +97,22 @@ class Numbers(dict):
 
     def __init__(self):
         super().__init__()
-        self.marked = bytearray()
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        self.marked.append(word[-1] in _SYMBOLS)
-        return number
+        self.marked = np.empty(0, np.bool_)
+
+    def of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The numbers of every text's lower-case words; a word is looked up once for all these texts."""
+        data = b" ".join([b"", *texts, b""])
+        blank = np.frombuffer(data.translate(_IS_BLANK), np.bool_)
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        stops, letters = np.cumsum(edges[1::2] - edges[::2]), data.translate(_LOWER, _BLANKS)
+        offsets = np.concatenate([[0], stops])
+        words = pa.Array.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+        before, which, different = len(self), words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.array([self.setdefault(word, len(self)) for word in different], np.uint32)
+        ends = np.frombuffer(bytes(word[-1] for word in different), np.uint8)
+        self.marked = np.concatenate([self.marked, _SYMBOLS[ends[numbers >= before]]])
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        return np.split(numbers[which], np.searchsorted(edges[::2], np.cumsum(sizes[:-1])))
 
 
 def grown(values: np.ndarray, size: int) -> np.ndarray:
@@ -139,25 +154,25 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             ids_type, at = batch.column(0).type, 0
             while at < batch.num_rows:
-                first, texts, ids = at, [], []
+                first, texts = at, []
                 while at < batch.num_rows and size < CHUNK_BYTES:
                     plain = batch.column(2)[at].as_py() or ""
-                    text = plain.encode()
-                    words = text.lower().split()
-                    ids.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
-                    texts.append((plain, len(text)))
-                    size += len(text)
+                    texts.append((plain, plain.encode()))
+                    size += len(texts[-1][1])
                     at += 1
-                marked, rows = np.frombuffer(bytes(numbers.marked), np.uint8), []
+                ids = numbers.of([text for _, text in texts])
+                rows, learned = [], {}
                 train, kinds = grown(train, len(numbers)), grown(kinds, len(numbers))
                 out = batch.column(1).slice(first, at - first)
-                for (plain, n_bytes), own, held in zip(texts, ids, out.to_pylist(), strict=True):
-                    kind = text_kind(plain, int(marked[own].sum()), len(own))
+                for (plain, text), own, held in zip(texts, ids, out.to_pylist(), strict=True):
+                    kind = text_kind(plain, int(numbers.marked[own].sum()), len(own))
                     if not held:
-                        kinds[own] |= np.uint32(1 << kind)
-                    rows.append((chunk, len(own), n_bytes, kind, packed(own)))
-                learned = [own for own, held in zip(ids, out.to_pylist(), strict=True) if not held]
-                train[: len(numbers)] += np.bincount(np.concatenate([np.empty(0, np.uint32), *learned]), minlength=len(numbers))
+                        learned.setdefault(kind, []).append(own)
+                    rows.append((chunk, len(own), len(text), kind, packed(own)))
+                for kind, some in learned.items():
+                    many = np.bincount(np.concatenate(some), minlength=len(numbers))
+                    train[: len(numbers)] += many
+                    kinds[: len(numbers)] |= (many > 0).astype(np.uint32) << np.uint32(kind)
                 own, words, n_bytes, kind, parts = zip(*rows, strict=True)
                 columns = [pa.array(own, pa.int64()), batch.column(0).slice(first, at - first), out, pa.array(words, pa.int64()), pa.array(n_bytes, pa.int64())]
                 columns += [pa.array(kind, pa.int32()), pa.array(parts, pa.binary()), pa.nulls(len(rows), pa.int32()), *(pa.nulls(len(rows), pa.binary()) for _ in range(4))]
@@ -238,7 +253,8 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bit_events(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For all bits of some words: slots (per context), the bit, the byte before, the place in the byte, the word's first bit.
+    """For all bits of some words, the first bits of all bytes before the second ones: cells (per context; slots of what is a one come
+    after those of zeros), the bit, the byte before, the place in the byte; and each word's first byte.
 
     The first byte of a word is the kind of text: a context, and not itself coded.
     """
@@ -259,20 +275,21 @@ def bit_events(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     placed = (placed ^ (placed >> np.uint64(31))) * _MULT
     running = np.concatenate([[np.uint64(0)], np.cumsum(placed)[:-1]])
     contexts[ORDERS.index(0)] = (running - np.repeat(running[starts], sizes) ^ np.uint64(77)) * _MULT
-    shifts = np.arange(7, -1, -1, dtype=np.uint64)
     coded = within > 0
     before = np.concatenate([[0], data[:-1]]).astype(np.int64)[coded]
     contexts, data = contexts[:, coded], data[coded]
     starts -= np.arange(len(words))
-    bits = (data[:, None] >> shifts) & np.uint64(1)
+    bits = data >> np.arange(7, -1, -1, dtype=np.uint64)[:, None] & np.uint64(1)
     # the 15 nodes of half a byte lie side by side
-    halves = np.stack([data >> np.uint64(4), data & np.uint64(15)], axis=1)
-    nodes = np.stack([np.ones_like(data), halves[:, 0] | np.uint64(16)], axis=1)
-    mixed = (contexts[:, :, None] ^ (nodes[None] * np.uint64(0xC2B2AE3D27D4EB4F))) * _MULT
-    lines = mixed >> np.uint64(69 - SLOTS.bit_length()) << np.uint64(4)
-    inside = (halves[:, :, None] | np.uint64(16)) >> np.arange(4, 0, -1, dtype=np.uint64)
-    slots = (lines[:, :, :, None] | inside[None]).view(np.int64).reshape(len(ORDERS), -1)
-    return slots, bits.ravel().astype(np.int64), np.repeat(before, 8), np.tile(np.arange(8), len(data)), starts * 8
+    halves = np.stack([data >> np.uint64(4), data & np.uint64(15)])
+    nodes = np.stack([np.ones_like(data), halves[0] | np.uint64(16)]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    inside = (halves[:, None] | np.uint64(16)) >> np.arange(4, 0, -1, dtype=np.uint64)[:, None]
+    inside |= (bits * np.uint64(SLOTS)).reshape(inside.shape)
+    cells = np.empty((len(ORDERS), 2, 4, len(data)), np.uint64)
+    for k in range(len(ORDERS)):
+        lines = (contexts[k] ^ nodes) * _MULT >> np.uint64(69 - SLOTS.bit_length()) << np.uint64(4)
+        np.bitwise_or(lines[:, None], inside, out=cells[k])
+    return cells.view(np.int64).reshape(len(ORDERS), -1), bits.view(np.int64).ravel(), np.tile(before, 8), np.repeat(np.arange(8), len(data)), starts
 
 
 @dataclass
@@ -297,51 +314,55 @@ class Spelling:
         self.kept[own] = out.ravel()
         return self.kept[own]
 
-    def inputs(self, slots: np.ndarray, bits: np.ndarray, stretched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, cells: np.ndarray, stretched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Predictions in the logistic domain, per context, and how many contexts are known."""
-        out = stretched.take(slots + bits * SLOTS)
-        return out, (out != 0).sum(axis=0)
+        out = stretched.take(cells, mode="clip")
+        return out, (out != 0).view(np.int8).sum(axis=0, dtype=np.int8).astype(np.int64)
 
     def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
         total, weights = np.zeros(len(gate), np.float32), self.weights.T.astype(np.float32)
         for k in range(len(ORDERS)):
-            total += weights[k][gate] * inputs[k]
+            total += weights[k].take(gate, mode="clip") * inputs[k]
         return np.clip(total, -14, 14)
 
-    def refine(self, before: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    def table(self) -> np.ndarray:
+        centre = 1 / (1 + np.exp(-(np.arange(BUCKETS) / (BUCKETS - 1) * 28 - 14)))
+        # every bucket starts as if it had seen a few bits that agree with the mixer
+        return ((self.refined[:, :, 1] + 4 * centre) / (self.refined.sum(axis=2) + 4)).ravel()
+
+    def refine(self, table: np.ndarray, before: np.ndarray, mixed: np.ndarray) -> np.ndarray:
         """The chance of a one: the mean of what was mixed and what the map says, between its two nearest buckets."""
         place = (mixed + 14) / 28 * (BUCKETS - 1)
         low = np.minimum(place.astype(np.int64), BUCKETS - 2)
         share = place - low
-        centre = 1 / (1 + np.exp(-(np.arange(BUCKETS) / (BUCKETS - 1) * 28 - 14)))
-        # every bucket starts as if it had seen a few bits that agree with the mixer
-        table = (self.refined[:, :, 1] + 4 * centre) / (self.refined.sum(axis=2) + 4)
-        mapped = table[before, low] * (1 - share) + table[before, low + 1] * share
+        low += before * BUCKETS
+        mapped = table.take(low, mode="clip") * (1 - share) + table[1:].take(low, mode="clip") * share
         plain = 1 / (1 + np.exp(-mixed))
         return np.clip(0.5 * plain + 0.5 * mapped, 1e-7, 1 - 1e-7)
 
     def log10(self, words: list[bytes]) -> np.ndarray:
         """The log-probability of each word's spelling."""
-        out, stretched = [np.empty(0)], self.stretched(0)
-        for at in range(0, len(words), BLOCK_WORDS):
-            slots, bits, before, place, first = bit_events(words[at : at + BLOCK_WORDS])
-            inputs, known = self.inputs(slots, bits, stretched)
-            chance = self.refine(before, self.mixed(inputs, known * 8 + place))
-            out.append(np.add.reduceat(np.log10(np.where(bits == 1, chance, 1 - chance)), first))
+        out, stretched, table = [np.empty(0)], self.stretched(0), self.table()
+        for at in range(0, len(words), LEARN_WORDS):
+            cells, bits, before, place, first = bit_events(words[at : at + LEARN_WORDS])
+            inputs, known = self.inputs(cells, stretched)
+            chance = self.refine(table, before, self.mixed(inputs, known * 8 + place))
+            logs = np.log10(np.where(bits == 1, chance, 1 - chance))
+            out.append(np.add.reduceat(logs.reshape(8, -1).sum(axis=0), first))
         return np.concatenate(out)
 
     def count(self, words: list[bytes]) -> None:
         self.kept.clear()
-        for at in range(0, len(words), BLOCK_WORDS):
-            slots, bits, *_ = bit_events(words[at : at + BLOCK_WORDS])
-            np.add.at(self.counts.reshape(-1), (slots + bits * SLOTS).ravel(), np.float32(1))
+        for at in range(0, len(words), LEARN_WORDS):
+            cells, *_ = bit_events(words[at : at + LEARN_WORDS])
+            np.add.at(self.counts.reshape(-1), cells.ravel(), np.float32(1))
 
     def learn(self, words: list[bytes]) -> int:
         """Weights and map, online: each block is predicted, then learned. Gives the number of bits."""
-        total, stretched = 0, self.stretched(1)
+        total, stretched, seen_as = 0, self.stretched(1), np.zeros(self.refined.size, np.int64)
         for at in range(0, len(words), LEARN_WORDS):
-            slots, bits, before, place, _ = bit_events(words[at : at + LEARN_WORDS])
-            inputs, known = self.inputs(slots, bits, stretched)
+            cells, bits, before, place, _ = bit_events(words[at : at + LEARN_WORDS])
+            inputs, known = self.inputs(cells, stretched)
             gate = known * 8 + place
             mixed = self.mixed(inputs, gate)
             wrong = bits.astype(np.float32) - 1 / (1 + np.exp(-mixed))
@@ -349,9 +370,9 @@ class Spelling:
             for k in range(len(ORDERS)):
                 self.weights[:, k] += RATE * np.bincount(gate, wrong * inputs[k], minlength=GATES) / seen
             bucket = np.rint((mixed + 14) / 28 * (BUCKETS - 1)).astype(np.int64)
-            cells = (before * BUCKETS + bucket) * 2 + bits
-            self.refined += np.bincount(cells, minlength=self.refined.size).reshape(self.refined.shape)
+            seen_as += np.bincount((before * BUCKETS + bucket) * 2 + bits, minlength=len(seen_as))
             total += len(bits)
+        self.refined += seen_as.reshape(self.refined.shape)
         return total
 
 
@@ -480,7 +501,8 @@ def later(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Texts:
     """Some texts, their words in a row: paths, contexts, and the word that came last time after the same word of this text."""
 
-    def __init__(self, ids: list[np.ndarray], kinds: np.ndarray, paths: np.ndarray, depths: np.ndarray):
+    def __init__(self, ids: list[np.ndarray], kinds: np.ndarray, paths: np.ndarray, depths: np.ndarray, routes: Routes | None = None):
+        self.routes = routes or Routes(depths, paths)
         self.sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         self.ids = np.concatenate([np.empty(0, np.uint32), *ids]).astype(np.int64)
         self.starts = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
@@ -501,41 +523,121 @@ class Texts:
             self.expected[now], self.expected_depth[now] = self.paths[last], self.depths[last]
             self.longer[now] = two[now] == two[last]
 
-    def decisions(self, at: int, slots: int, depths: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For the words from ``at`` on: slots (per context), the bit, the row of the map, the gate's part for depth and expectation, each word's first.
-
-        The 15 nodes of four decisions lie side by side."""
-        stop = min(at + PATH_WORDS, len(self.ids))
-        size = depths[at:stop]
-        first = np.cumsum(size) - size
-        depth = np.arange(int(size.sum())) - np.repeat(first, size)
-        left = (np.repeat(size, size) - depth).astype(np.uint64)
-        path = np.repeat(paths[at:stop], size)
-        prefix = path >> left
-        bits = (path >> (left - np.uint64(1)) & np.uint64(1)).astype(np.int64)
-        steps = depth.astype(np.uint64)
-        nodes = prefix | np.uint64(1) << steps
-        steps &= np.uint64(3)
-        spread = (nodes >> steps) * np.uint64(0xC2B2AE3D27D4EB4F)
-        spread ^= spread >> np.uint64(32)
-        inside = np.uint64(1) << steps
-        inside |= prefix & (inside - np.uint64(1))
-        out = np.empty((CONTEXTS, len(depth)), np.int64)
-        shift = np.uint64(69 - slots.bit_length())
+    def expecting(self, depths: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The words where one is expected, how many of their decisions that concerns, how many it foresees, and its first slot."""
+        some = np.flatnonzero(self.expected_depth)
+        size, expected = depths[some], self.expected_depth[some]
+        whole = np.maximum(size, expected)
+        differ = paths[some] << (whole - size).astype(np.uint64) ^ self.expected[some] << (whole - expected).astype(np.uint64)
+        agreed = whole - bit_length(differ)
+        # a word is expected up to the first decision that it would take otherwise
+        return some, np.minimum(np.minimum(agreed + 1, size), expected), agreed, 1 + 64 * self.longer[some]
+
+    def decisions(self, at: int, stop: int, slots: int, routes: Routes, ids: np.ndarray, expecting: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """For the words from ``at`` to ``stop``: lines (per context but the word expected), the place of each decision in a row of
+        these lines, codes (``Nodes``), each word's first decision, the decisions with a word expected, and their slots in that context."""
+        own = ids[at:stop]
+        size, lines = routes.sizes[own], routes.lines[own]
+        first, first_line = np.cumsum(size) - size, np.cumsum(lines) - lines
+        word = np.repeat(np.arange(len(own)), lines)
+        spread = routes.spread[np.arange(len(word)) + (routes.first_line[own] - first_line)[word]]
+        out, shift = np.empty((CONTEXTS - 1, len(word)), np.int64), np.uint64(69 - slots.bit_length())
         for k in range(CONTEXTS - 1):
-            mixed = (np.repeat(self.contexts[k, at:stop], size) ^ spread) * _MULT >> shift << np.uint64(4)
-            out[k] = (mixed | inside).view(np.int64) + k * slots
-        behind = np.repeat(self.expected_depth[at:stop], size) - depth
-        path = np.repeat(self.expected[at:stop], size)
-        awaited = (behind > 0) & (path >> np.maximum(behind, 0).astype(np.uint64) == prefix)
-        bit = (path >> np.maximum(behind - 1, 0).astype(np.uint64) & np.uint64(1)).astype(np.int64)
-        out[-1] = (1 + bit + 2 * np.minimum(depth, 31) + 64 * np.repeat(self.longer[at:stop], size)) * awaited + (CONTEXTS - 1) * slots
-        return out, bits, (nodes * (nodes < 256)).astype(np.int64), np.minimum(depth, 15) * 8 + awaited, first
+            mixed = self.contexts[k, at:stop][word]
+            mixed ^= spread
+            mixed *= _MULT
+            mixed >>= shift
+            np.add(mixed.view(np.int64), k * slots >> 4, out=out[k])
+        which = np.repeat(routes.first[own] - first, size)
+        which += np.arange(len(which))
+        nodes = routes.nodes[which]
+        code = (nodes & 2047).astype(np.int64)
+        places = np.repeat(first_line << 4, size)
+        places += nodes >> 11
+        some, many, agreed, slot = (x[slice(*np.searchsorted(expecting[0], (at, stop)))] for x in expecting)
+        depth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        awaited = depth + np.repeat(first[some - at], many)
+        bit = NODES.bit.take(code[awaited], mode="clip") ^ (depth == np.repeat(agreed, many))
+        return out, places, code, first, awaited, bit + 2 * np.minimum(depth, 31) + np.repeat(slot + (CONTEXTS - 1) * slots, many)
+
+
+def bit_length(values: np.ndarray) -> np.ndarray:
+    """The number of binary digits; halves, as a double would round what has more than 53."""
+    high = values >> np.uint64(32)
+    return np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]).astype(np.int64)
+
+
+class Nodes:
+    """What a decision's code stands for. A code has the line (1: the first, 16 to 31: the second, by its node, 0: the third, 2: the
+    fourth, 3: any other), the line's four decisions and which of these it is."""
+
+    def __init__(self):
+        line, four, which = (x.ravel() for x in np.meshgrid(np.arange(32), np.arange(16), np.arange(4), indexing="ij"))
+        self.inside = 1 << which | four >> (4 - which)
+        self.bit = four >> (3 - which) & 1
+        self.added = np.uint64(1) << (self.bit.astype(np.uint64) << np.uint64(5))
+        row = np.where((line == 1) | (line >= 16), (line - 1 << which) + self.inside, 0)
+        self.row = row * BUCKETS
+        self.cell = self.row * 2 + self.bit
+        place = np.select([line == 1, line >= 16, line == 0, line == 2], [which, 4 + which, 8 + which, 12 + which], 15)
+        self.gate = place * 8
+        self.decided = self.bit.astype(np.float32)
+
+
+NODES = Nodes()
+
+
+class Routes:
+    """The decisions of different words, one word after the other: what does not depend on the text.
+
+    The 15 nodes of four decisions lie side by side in a line, so that a hash is needed for every fourth only."""
+
+    def __init__(self, depths: np.ndarray, paths: np.ndarray):
+        self.sizes, self.lines = depths, (depths + 3) >> 2
+        self.first, self.first_line = np.cumsum(self.sizes) - self.sizes, np.cumsum(self.lines) - self.lines
+        parts = [self.part(depths[at : at + GROUP_WORDS // 8], paths[at : at + GROUP_WORDS // 8]) for at in range(0, len(depths), GROUP_WORDS // 8)]
+        self.spread = np.concatenate([np.empty(0, np.uint64), *(spread for spread, _ in parts)])
+        self.nodes = np.concatenate([np.empty(0, np.int32), *(nodes for _, nodes in parts)])
+
+    @staticmethod
+    def part(size: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is hashed with the context, per line; and per decision its place in the word's lines (from 2048 on) and its code."""
+        lines = (size + 3) >> 2
+        word = np.repeat(np.arange(len(size)), lines)
+        step = np.arange(len(word)) - (np.cumsum(lines) - lines)[word]
+        left, path = size[word] - 4 * step, paths[word]
+        nodes = path >> left.astype(np.uint64) | np.uint64(1) << (4 * step).astype(np.uint64)
+        four = path >> np.maximum(left - 4, 0).astype(np.uint64) << np.maximum(4 - left, 0).astype(np.uint64) & np.uint64(15)
+        spread = nodes * np.uint64(0xC2B2AE3D27D4EB4F)
+        spread ^= spread >> np.uint64(32)
+        # the first two lines of a path by their node, the others by their depth
+        line = np.where(step < 2, np.minimum(nodes, np.uint64(31)).view(np.int64), np.array([0, 0, 0, 2, 3])[np.minimum(step, 4)])
+        many = np.minimum(left, 4)
+        of_line = np.repeat(np.arange(len(many)), many)
+        code = ((line * 16 + four.view(np.int64)) * 4 - np.cumsum(many) + many)[of_line] + np.arange(len(of_line))
+        return spread, ((step[of_line] << 4 | NODES.inside[code]) << 11 | code).astype(np.int32)
+
+
+def gathered(table: np.ndarray, lines: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """What a table holds for some decisions; whole lines are fetched first."""
+    return table.reshape(-1, 16).take(lines, axis=0, mode="clip").reshape(len(lines), -1).take(places, axis=1, mode="clip")
 
 
-def word_inputs(stretched: np.ndarray) -> np.ndarray:
-    """How many of the contexts, but for the word expected, say something; that one never does where none is expected."""
-    return (stretched[:-1] != 0).sum(axis=0)
+def gates(code: np.ndarray, inputs: np.ndarray, awaited: np.ndarray) -> np.ndarray:
+    """By depth, how many of the contexts but the word expected say something, and whether a word is expected."""
+    gate, says = NODES.gate.take(code, mode="clip"), (inputs != 0).view(np.int8)
+    gate += (says[0] + says[1] + says[2]) * np.int8(2)
+    gate[awaited] += 1
+    return gate
+
+
+def mixture(weights: np.ndarray, gate: np.ndarray, inputs: np.ndarray, awaited: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Predictions mixed in the logistic domain; ``expected``: what the word expected says about the decisions ``awaited``."""
+    total = np.zeros(len(gate), np.float32)
+    for k in range(CONTEXTS - 1):
+        total += weights[:, k].take(gate, mode="clip") * inputs[k]
+    total[awaited] += weights[:, -1].take(gate[awaited], mode="clip") * expected
+    return np.clip(total, -14, 14, out=total)
 
 
 @dataclass
@@ -561,33 +663,43 @@ class Words:
         out[self.slots * (CONTEXTS - 1)] = 0
         return out
 
-    def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(gate), np.float32)
-        for k in range(CONTEXTS):
-            total += self.weights[:, k].astype(np.float32)[gate] * inputs[k]
-        return np.clip(total, -14, 14)
-
-    def learn(self, texts: Texts, depths: np.ndarray, paths: np.ndarray) -> int:
-        """Online: each block is predicted, then learned. Gives the number of decisions."""
-        done, none = 0, self.slots * (CONTEXTS - 1)
+    @staticmethod
+    def inputs(counts: np.ndarray) -> np.ndarray:
+        """Predictions from counts, in the logistic domain."""
+        both = counts.view("<u4").astype(np.float32)
+        both += np.float32(SOFT)
+        return np.log(both[..., 1::2] / both[..., ::2])
+
+    def learn(self, texts: Texts, depths: np.ndarray, paths: np.ndarray, routes: Routes | None = None) -> int:
+        """Online: each block is predicted, then learned. Gives the number of decisions. ``routes``: of the numbered words."""
+        ids, expecting = texts.ids if routes else np.arange(len(texts.ids)), texts.expecting(depths, paths)
+        routes = routes or Routes(depths, paths)
+        done, cells, none = 0, np.zeros(self.refined.size, np.int64), self.slots * (CONTEXTS - 1)
         for at in range(0, len(texts.ids), PATH_WORDS):
-            slots, bits, row, gate, _ = texts.decisions(at, self.slots, depths, paths)
-            both = self.counts.take(slots).view("<u4").reshape(CONTEXTS, -1, 2).astype(np.float32)
-            both += np.float32(SOFT)
-            inputs = np.log(both[:, :, 1] / both[:, :, 0])
-            inputs[-1][slots[-1] == none] = 0
-            gate = gate + 2 * word_inputs(inputs)
-            mixed = self.mixed(inputs, gate)
-            wrong = bits.astype(np.float32) - 1 / (1 + np.exp(-mixed))
+            lines, places, code, _, awaited, last = texts.decisions(at, at + PATH_WORDS, self.slots, routes, ids, expecting)
+            # places go by the row of lines, and slots by the table
+            slots, lines = np.empty((CONTEXTS - 1, len(code)), np.int64), (lines - np.arange(lines.shape[1])) << 4
+            of_line, inputs = places >> 4, np.empty(slots.shape, np.float32)
+            for k in range(CONTEXTS - 1):
+                np.add(lines[k].take(of_line, mode="clip"), places, out=slots[k])
+                inputs[k] = self.inputs(self.counts.take(slots[k], mode="clip"))
+            expected = self.inputs(self.counts[last])
+            gate = gates(code, inputs, awaited)
+            mixed = mixture(self.weights.astype(np.float32), gate, inputs, awaited, expected)
+            wrong = NODES.decided.take(code, mode="clip") - 1 / (1 + np.exp(-mixed))
             seen = np.maximum(np.bincount(gate, minlength=WORD_GATES), 1)
-            for k in range(CONTEXTS):
+            for k in range(CONTEXTS - 1):
                 self.weights[:, k] += RATE * np.bincount(gate, wrong * inputs[k], minlength=WORD_GATES) / seen
+            self.weights[:, -1] += RATE * np.bincount(gate[awaited], wrong[awaited] * expected, minlength=WORD_GATES) / seen
             bucket = np.rint((mixed + 14) / 28 * (BUCKETS - 1)).astype(np.int64)
-            self.refined += np.bincount((row * BUCKETS + bucket) * 2 + bits, minlength=self.refined.size).reshape(self.refined.shape)
-            added = np.uint64(1) << (bits.astype(np.uint64) << np.uint64(5))
-            for k in range(CONTEXTS):
+            cells += np.bincount(NODES.cell.take(code, mode="clip") + 2 * bucket, minlength=len(cells))
+            added = NODES.added.take(code, mode="clip")
+            for k in range(CONTEXTS - 1):
                 np.add.at(self.counts, slots[k], added)
-            done += len(bits)
+            np.add.at(self.counts, last, added[awaited])
+            self.counts[none] += added.sum() - added[awaited].sum()
+            done += len(code)
+        self.refined += cells.reshape(self.refined.shape)
         return done
 
 
@@ -609,26 +721,22 @@ class Learned:
 
     def log10(self, texts: Texts) -> np.ndarray:
         """The log-probability of each word's path."""
-        out = np.zeros(len(texts.ids))
-        for at in range(0, len(texts.ids), PATH_WORDS):
-            slots, bits, row, gate, first = texts.decisions(at, self.slots, texts.depths, texts.paths)
-            if not len(bits):
+        out, expecting = np.zeros(len(texts.ids)), texts.expecting(texts.depths, texts.paths)
+        for at in range(0, len(texts.ids), SCORE_WORDS):
+            lines, places, code, first, awaited, last = texts.decisions(at, at + SCORE_WORDS, self.slots, texts.routes, texts.ids, expecting)
+            if not len(code):
                 continue
-            inputs = self.stretched.take(slots)
-            gate = gate + 2 * word_inputs(inputs)
-            mixed = np.zeros(len(gate), np.float32)
-            for k in range(CONTEXTS):
-                mixed += self.weights[:, k][gate] * inputs[k]
-            mixed = np.clip(mixed, -14, 14)
+            inputs = gathered(self.stretched, lines, places)
+            gate = gates(code, inputs, awaited)
+            mixed = mixture(self.weights, gate, inputs, awaited, self.stretched.take(last, mode="clip"))
             place = (mixed + np.float32(14)) * np.float32((BUCKETS - 1) / 28)
             low = np.minimum(place.astype(np.int64), BUCKETS - 2)
             share = place - low.astype(np.float32)
-            low += row * BUCKETS
-            mapped = self.table[low] * (1 - share) + self.table[low + 1] * share
+            low += NODES.row.take(code, mode="clip")
+            mapped = self.table.take(low, mode="clip") * (1 - share) + self.table[1:].take(low, mode="clip") * share
             chance = np.clip(0.5 / (1 + np.exp(-mixed)) + 0.5 * mapped, np.float32(1e-6), np.float32(1 - 1e-6))
-            stop = min(at + PATH_WORDS, len(texts.ids))
             # the chance of what was decided; every word has a decision, as every class has one if there are two
-            out[at:stop] = np.add.reduceat(np.log10(np.abs(bits.astype(np.float32) + chance - 1)), first)
+            out[at : at + SCORE_WORDS] = np.add.reduceat(np.log10(np.abs(NODES.decided.take(code, mode="clip") + chance - 1)), first)
         return out
 
 
@@ -646,7 +754,7 @@ class Vocabulary:
             if new:
                 self.unseen.update(zip(new, unpacked_words(row["unseen"]), strict=True))
 
-    def settle(self, codes: Codes) -> None:
+    def settle(self, codes: Codes, learns: bool) -> None:
         if self.parts is None:
             return
         numbers, buckets, c, place = (np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else (np.empty(0, np.int64) for _ in range(4))
@@ -656,9 +764,10 @@ class Vocabulary:
         missing = codes.words(np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64))
         as_new = (self.c == 1) & (self.place % 2 == 1)  # learned as words without a count
         self.learned_paths, self.learned_depths = np.where(as_new, missing[0], self.paths), np.where(as_new, missing[1], self.depths)
+        self.routes = Routes(self.learned_depths, self.learned_paths) if learns else Routes(self.depths, self.paths)
 
 
-def texts_of(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[tuple[pa.RecordBatch, Vocabulary, Texts]]:
+def texts_of(batches: Iterator[pa.RecordBatch], codes: Codes, learns: bool = False) -> Iterator[tuple[pa.RecordBatch, Vocabulary, Texts]]:
     """Rows in the order of their chunks, a chunk's words before its documents; gives some documents at a time."""
     chunk, words = None, Vocabulary()
     for batch in batches:
@@ -672,13 +781,13 @@ def texts_of(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[tuple[
             if answers[at]:
                 words.add(batch.slice(at, stop - at))
                 continue
-            words.settle(codes)
+            words.settle(codes, learns)
             group = np.cumsum(batch.column("n_words").to_numpy(zero_copy_only=False)[at:stop].astype(np.int64)) // GROUP_WORDS
             edges = [at, *(np.flatnonzero(np.diff(group)) + 1 + at).tolist(), stop]
             for a, b in zip(edges, edges[1:], strict=False):
                 rows = batch.slice(a, b - a)
                 ids = [unpacked(part.as_py(), np.uint32) for part in rows.column("ids")]
-                yield rows, words, Texts(ids, rows.column("kind").to_numpy(zero_copy_only=False).astype(np.int64), words.paths, words.depths)
+                yield rows, words, Texts(ids, rows.column("kind").to_numpy(zero_copy_only=False).astype(np.int64), words.paths, words.depths, words.routes)
 
 
 def fitted_words(together: DataFrame, codes: Codes, words: int) -> Words:
@@ -688,8 +797,8 @@ def fitted_words(together: DataFrame, codes: Codes, words: int) -> Words:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, total = Words.empty(slots), 0
-        for _, chunk, texts in texts_of(batches, shared.value):
-            total += model.learn(texts, chunk.learned_depths[texts.ids], chunk.learned_paths[texts.ids])
+        for _, chunk, texts in texts_of(batches, shared.value, learns=True):
+            total += model.learn(texts, chunk.learned_depths[texts.ids], chunk.learned_paths[texts.ids], chunk.routes)
         if total:  # the counts, the weights times the decisions they were learned from, these decisions, and the map
             flat = np.concatenate([model.halves().ravel(), model.weights.ravel() * total, [total], model.refined.ravel()]).astype("<f4")
             yield binary_rows(np.concatenate([flat, np.zeros(-len(flat) % SLOT_BLOCK, "<f4")]), SLOT_BLOCK)

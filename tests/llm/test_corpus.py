@@ -390,6 +390,38 @@ def test_paths_are_a_distribution():
         assert 0.6 < chances.sum() < 1 + 1e-4 and chances.argmax() == 16
 
 
+def test_words_are_numbered_by_first_use():
+    numbers, want, got = language_model.Numbers(), {}, []
+    pieces = [[b"", b"  b A\tb\x0bC+ ", b"\n", "é\u2003É a".encode()], [b""], [b"c+ d# a", b"\x1c x\x85y\x00", b"Z" * 300]]
+    for texts in pieces:
+        got += [own.tolist() for own in numbers.of(texts)]
+    assert got == [[want.setdefault(word, len(want)) for word in text.lower().split()] for texts in pieces for text in texts]
+    assert list(numbers) == list(want) and numbers.marked.tolist() == [word[-1:] in (b"+", b"#") for word in want]
+
+
+def test_routes_hold_each_word_once():
+    rng = random.Random(6)
+    coded = ["", "0", "1", *("".join(rng.choice("01") for _ in range(rng.randrange(1, 60))) for _ in range(200))]
+    depths, paths = np.array([len(x) for x in coded]), np.array([int(x or "0", 2) for x in coded], np.uint64)
+    routes = language_model.Routes(depths, paths)
+    code, place = routes.nodes & 2047, routes.nodes >> 11
+    assert "".join(map(str, language_model.NODES.bit[code].tolist())) == "".join(coded)
+    assert place.tolist() == [16 * (i // 4) + int("1" + x[i // 4 * 4 : i], 2) for x in coded for i in range(len(x))]
+    row = [int("1" + x[:i], 2) if i < 8 else 0 for x in coded for i in range(len(x))]
+    assert (language_model.NODES.row[code] // language_model.BUCKETS).tolist() == row
+    assert (language_model.NODES.gate[code] // 8).tolist() == [min(i, 15) for x in coded for i in range(len(x))]
+    assert len(routes.spread) == sum((len(x) + 3) // 4 for x in coded)
+
+
+def test_expected_words_agree_up_to_a_decision():
+    paths, depths = np.array([0b00, 0b010, 0b0110, 0b0111, 0b1], np.uint64), np.array([2, 3, 4, 4, 1])
+    texts = language_model.Texts([np.array([0, 1, 0, 2, 0, 2, 4, 4, 4], np.uint32), np.array([0, 3], np.uint32)], np.zeros(2, np.int64), paths, depths)
+    some, many, agreed, _ = texts.expecting(texts.depths, texts.paths)
+    # 1 was expected where 2 came, 2 where 2 came, 0 where 4 came, 4 where 4 came
+    assert dict(zip(some.tolist(), many.tolist(), strict=True)) == {3: 3, 5: 4, 6: 1, 8: 1}
+    assert agreed[some == 3].tolist() == [2]
+
+
 def test_spelling_is_a_distribution():
     model = language_model.Spelling()
     words = [b"\x00" + bytes([a, b]) for a in b"abc" for b in b"abc"] * 3
