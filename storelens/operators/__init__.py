@@ -1,6 +1,7 @@
 from storelens.operators.calendar import calendar, date_bounds
 from storelens.operators.dedup import latest
 from storelens.operators.keys import dense_key
+from storelens.operators.lookup import lookup
 from storelens.operators.periods import (
     cumulative_share,
     month_index,
@@ -17,6 +18,7 @@ __all__ = [
     "date_bounds",
     "dense_key",
     "latest",
+    "lookup",
     "month_index",
     "share_of_total",
     "shifted",

@@ -1,8 +1,9 @@
 """Gold: the star schema.
 
 Joins carry no broadcast hint unless the small side has a bound of its own (the calendar, the region
-map). For the dimensions Spark decides from the size of the written tables, and AQE from the size of the
-shuffle; past the threshold they are sort-merge joins whose hot partitions AQE splits.
+map). For the dimensions Spark decides from the size of the written tables, held to what a broadcast may take
+(``lookup``), and AQE from the size of the shuffle; past the threshold they are sort-merge joins whose hot
+partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.functions import bucketize, date_key, days_between
-from storelens.operators import calendar, dense_key
+from storelens.operators import calendar, dense_key, lookup
 from storelens.schemas import REGIONS, UNKNOWN_REGION, UNKNOWN_WEIGHT, WEIGHT_BUCKETS
 
 # The facts lie in folders by purchase year and month.
@@ -49,8 +50,9 @@ def dim_customer(customers: DataFrame) -> DataFrame:
 
 def bridge_customer(customers: DataFrame, dim: DataFrame) -> DataFrame:
     """From the per-order id to the person."""
-    people = dim.select("customer_unique_id", "customer_key")
-    return customers.join(people, "customer_unique_id").select("customer_id", "customer_key")
+    people = lookup(dim.select("customer_unique_id", "customer_key"))
+    ids = lookup(customers.select("customer_id", "customer_unique_id"))
+    return ids.join(people, "customer_unique_id").select("customer_id", "customer_key")
 
 
 def dim_product(products: DataFrame) -> DataFrame:
@@ -99,7 +101,7 @@ def order_header(orders: DataFrame, bridge: DataFrame) -> DataFrame:
     purchase, delivered, estimated = (
         F.col(f"order_{c}_ts") for c in ("purchase", "delivered_customer", "estimated_delivery")
     )
-    return orders.join(bridge, "customer_id", "left").select(
+    return orders.join(lookup(bridge), "customer_id", "left").select(
         "order_id",
         "customer_key",
         "order_status",
@@ -137,9 +139,9 @@ def fact_order_items(
     """
     return (
         items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-        .join(products.select("product_id", "product_key"), "product_id", "left")
-        .join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
-        .join(header, "order_id")
+        .join(lookup(products.select("product_id", "product_key")), "product_id", "left")
+        .join(lookup(sellers.select("seller_id", "seller_key")), "seller_id", "left")
+        .join(lookup(header), "order_id")
         .select(
             "order_id",
             "order_item_id",
@@ -163,7 +165,7 @@ def fact_order_items(
 
 def fact_payments(payments: DataFrame, header: DataFrame) -> DataFrame:
     placed = header.select("order_id", "purchase_date_key", "customer_key", *FACT_PARTITIONS)
-    return payments.join(placed, "order_id").select(
+    return payments.join(lookup(placed), "order_id").select(
         "order_id",
         "payment_sequential",
         "purchase_date_key",
@@ -177,7 +179,7 @@ def fact_payments(payments: DataFrame, header: DataFrame) -> DataFrame:
 
 def fact_reviews(reviews: DataFrame, header: DataFrame) -> DataFrame:
     placed = header.select("order_id", "purchase_date_key", "customer_key", *FACT_PARTITIONS)
-    return reviews.join(placed, "order_id").select(
+    return reviews.join(lookup(placed), "order_id").select(
         "review_id",
         "order_id",
         "purchase_date_key",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import ratio
+from storelens.operators import lookup
 from storelens.plans.measures import ITEMS, MEASURES, PAYMENTS, REVIEWS, Change, Distinct, Ratio, Total
 
 
@@ -239,7 +240,7 @@ def reached(
             dimensions = {d: c for d, c in wanted.items() if FOREIGN_KEY[d] == key}
             filtered = any(c in where for names in dimensions.values() for c in names)
             dimension = _dimension(star, key, dimensions, where)
-            frame = frame.join(dimension, key, "inner" if filtered else "left")
+            frame = frame.join(lookup(dimension), key, "inner" if filtered else "left")
         return frame
 
     foreign = sorted({FOREIGN_KEY[d] for d in wanted})
