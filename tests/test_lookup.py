@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storelens.operators import calendar, date_bounds, lookup
 from storelens.plans import gold, reports
+from storelens.plans.metrics import report
 from storelens.session import path_bytes
 from tests.conftest import plan_of, values
 
@@ -55,6 +56,11 @@ def test_customer_kpis_are_found_without_a_broadcast_of_all_customers(people):
     assert found(reports.customer_kpis(Star(people))) == [(5, 0.4, 4.5, 5)]
 
 
+def test_repeat_customers_of_a_month_are_found_without_a_broadcast_of_all_customers(people):
+    by_month = report(Star(people), ["repeat_customer_pct"], ["year_month"])
+    assert found(by_month) == [("2017-01", 0.5), ("2017-02", 1 / 3)]
+
+
 def test_the_bridge_is_built_without_a_broadcast_of_all(spark, people):
     ids = people.select((F.col("customer_key") * 7).alias("customer_id"), "customer_unique_id").where("customer_key <= 50")
     bridge = gold.bridge_customer(ids, people)
