@@ -61,6 +61,12 @@ def test_repeat_customers_of_a_month_are_found_without_a_broadcast_of_all_custom
     assert found(by_month) == [("2017-01", 0.5), ("2017-02", 1 / 3)]
 
 
+def test_repeat_customers_by_their_flag_are_found_without_a_broadcast_of_all_customers(people):
+    by_flag = report(Star(people), ["repeat_customer_pct"], ["is_repeat_customer"])
+    # Two of them in every group, over the active customers of the group; the line without a customer has none.
+    assert found(by_flag) == [(False, 2 / 3), (None, None), (True, 1.0)]
+
+
 def test_the_bridge_is_built_without_a_broadcast_of_all(spark, people):
     ids = people.select((F.col("customer_key") * 7).alias("customer_id"), "customer_unique_id").where("customer_key <= 50")
     bridge = gold.bridge_customer(ids, people)
